@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pregonero.llm import canonical_list, components, survivors
+from pregonero.llm import addresses, canonical_list, components, survivors
 from pregonero.operators.money import amount_values, convert_amounts
 from pregonero.session import table
 
@@ -14,6 +14,11 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.canonical_groups(table(spark, sf_dir, "lot_canonical_link"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = addresses.with_city(table(spark, sf_dir, "address"), table(spark, sf_dir, "ref_municipality"))
+    return addresses.same_location_pairs(addresses.locate(addresses.parse_addresses(rows)))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = canonical_list.municipalities(table(spark, sf_dir, "address"), table(spark, sf_dir, "ref_municipality"))
     return got.select("address_id", "municipality_code").distinct()
@@ -27,7 +32,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
 
 
-QUERIES = {"p3_found": p3_found, "p5_found": p5_found, "p7_found": p7_found}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
 ORACLE_SQL = {
     "p3_found": """
 WITH RECURSIVE e AS (

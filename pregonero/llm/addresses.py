@@ -9,7 +9,7 @@ from pregonero.functions.text import deletes, edit_distance, fold, words
 from pregonero.functions.timestamps import barrier
 from pregonero.llm.canonical_list import municipalities
 from pregonero.llm.components import hash_to_min
-from pregonero.session import cut, small
+from pregonero.session import cut
 
 CEP = r"(?<!\d)(\d{2}\.?\d{3}-?\d{3})(?!\d)"
 _FLAT = r"(?:apartamento|apart|apto|apt|ap|unidade|unid|conjunto no|sala)\.?\s*(?:n[o.]\s*)?"
@@ -87,8 +87,8 @@ def mine_rewrites(spellings: DataFrame) -> DataFrame:
     pairs = pairs.select("place", F.when(longer, F.col("b")).otherwise(F.col("a")).alias("bad"), F.when(longer, F.col("a")).otherwise(F.col("b")).alias("good"))
     # an initial stands for many names and is no rewrite
     pairs = pairs.where((F.length(F.replace("bad", F.lit("^"))) > 1) | F.col("bad").startswith("^")).distinct()
-    counts = pairs.groupBy("bad", "good").agg(F.count("*").alias("support"))
-    total = float(pairs.count())
+    counts = cut(pairs.groupBy("bad", "good").agg(F.count("*").alias("support")))
+    total = float(counts.agg(F.sum("support")).first()[0] or 0)
     of_bad, of_good = counts.groupBy("bad").agg(F.sum("support").alias("nb")), counts.groupBy("good").agg(F.sum("support").alias("ng"))
     c = counts.join(of_bad, "bad").join(of_good, "good")
     term = lambda o, e: F.when((o > 0) & (e > 0), o * F.ln(o / e)).otherwise(0.0)
@@ -104,7 +104,7 @@ def mine_rewrites(spellings: DataFrame) -> DataFrame:
 def rewrite(streets: DataFrame, rewrites: DataFrame) -> DataFrame:
     """(street, to): distinct street texts with the rewrites applied to their tokens."""
     tokens = streets.select("street", F.posexplode(F.split(F.concat(F.lit("^"), F.col("street")), " ")).alias("i", "bad"))
-    new = tokens.join(small(rewrites.select("bad", "good")), "bad", "left").groupBy("street").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("good", "bad").alias("t")))).alias("ts"))
+    new = tokens.join(rewrites.select("bad", "good"), "bad", "left").groupBy("street").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("good", "bad").alias("t")))).alias("ts"))
     return new.select("street", F.replace(F.array_join(F.transform("ts", lambda x: x.t), " "), F.lit("^")).alias("to"))
 
 
@@ -234,7 +234,7 @@ def same_location_pairs(located: DataFrame) -> DataFrame:
 
 def with_city(addresses: DataFrame, reference: DataFrame) -> DataFrame:
     """addresses with `city`: the valid code, else the entry that the free name means, else null."""
-    codes = small(reference.select(F.col("ibge_code").alias("__code")).distinct())
+    codes = reference.select(F.col("ibge_code").alias("__code")).distinct()
     meant = municipalities(addresses, reference).where(F.col("municipality_code") != "none").groupBy(F.col("address_id").alias("id")).agg(F.min("municipality_code").alias("__meant"))
     got = addresses.join(codes, addresses.municipality_code == F.col("__code"), "left").join(meant, "id", "left")
     return got.withColumn("city", F.coalesce("__code", "__meant")).drop("__code", "__meant")

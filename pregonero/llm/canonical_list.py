@@ -2,8 +2,8 @@
 
 Token-level repair: every distinct token of the values is joined to the vocabulary of the list by edit distance
 (through shared deletions, an equi-join) and by abbreviation; the repaired tokens then rank whole entries by soft
-TF-IDF. Values are matched once per distinct spelling and joined back. The list and its index are broadcast only
-after a count.
+TF-IDF. Values are matched once per distinct spelling and joined back. No join is hinted: adaptive execution
+broadcasts a side by its measured size.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pregonero.functions.text import deletes, edit_distance, normalise_uf, words
-from pregonero.session import cut, small
+from pregonero.session import cut
 
 # Particles that carry no meaning of their own in place names.
 PARTICLES = ["de", "do", "da", "dos", "das", "e"]
@@ -38,8 +38,8 @@ def reference_index(reference: DataFrame, code: str, names: list[str], region: s
     rows = rows.where(F.col("name").isNotNull()).dropDuplicates(["code", "name"]).withColumn("entry", F.xxhash64("code", "name"))
     rows = rows.withColumn("ts", tokens(F.col("name"))).where(F.size("ts") > 0)
     posts = rows.select("entry", F.explode("ts").alias("token"))
-    n = F.lit(1.0) * max(1, rows.count())
-    idf = posts.groupBy("token").agg(F.count("*").alias("df")).withColumn("w", F.ln(n / F.col("df")) + 0.5)
+    n = rows.select("entry").distinct().agg(F.count("*").cast("double").alias("n_entries"))
+    idf = posts.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).withColumn("w", F.ln(F.col("n_entries") / F.col("df")) + 0.5).drop("n_entries")
     posts = posts.join(idf, "token")
     norm = posts.groupBy("entry").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return rows.join(norm, "entry").select("entry", "code", "region", "norm"), posts.select("token", "entry", "w", "df")
@@ -52,7 +52,7 @@ def repair_tokens(found: DataFrame, vocabulary: DataFrame) -> DataFrame:
     a start with the same letter of at most three letters that is a part of a frequent token in order 0.9.
     """
     keys = lambda t: F.explode(F.when(F.length(t) >= 6, deletes(t, 2)).when(F.length(t) >= 3, deletes(t, 1)).otherwise(F.array(t)))
-    voc = small(vocabulary.select("token", keys(F.col("token")).alias("k")), 200_000)
+    voc = vocabulary.select("token", keys(F.col("token")).alias("k"))
     d = edit_distance(F.col("q"), F.col("token"))
     longest = F.greatest(F.length("q"), F.length("token"))
     near = (
@@ -60,7 +60,7 @@ def repair_tokens(found: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .withColumn("d", d).where((F.col("d") <= 1) | ((F.col("d") == 2) & (longest >= 6)))
         .select("q", "token", (1 - F.col("d") / (longest * 1.5)).alias("sim"))
     )
-    alike = found.select("q", sound(F.col("q")).alias("s")).join(small(vocabulary.select("token", sound(F.col("token")).alias("s"))), "s").select("q", "token", F.lit(0.92).alias("sim"))
+    alike = found.select("q", sound(F.col("q")).alias("s")).join(vocabulary.select("token", sound(F.col("token")).alias("s")), "s").select("q", "token", F.lit(0.92).alias("sim"))
     # every beginning-and-part of up to three letters of the frequent tokens
     letters = F.sequence(F.lit(2), F.least(F.length("token"), F.lit(12)))
     frequent = vocabulary.where((F.col("df") >= 3) & (F.length("token") > 2))
@@ -70,7 +70,7 @@ def repair_tokens(found: DataFrame, vocabulary: DataFrame) -> DataFrame:
         F.array(F.concat(head, at(i))),
         F.transform(F.filter(letters, lambda j: j > i), lambda j: F.concat(head, at(i), at(j))),
     )))
-    short = small(frequent.select("token", F.explode(F.array_distinct(F.concat(F.array(head), parts))).alias("q")), 200_000)
+    short = frequent.select("token", F.explode(F.array_distinct(F.concat(F.array(head), parts))).alias("q"))
     brief = found.where(F.length("q") <= 3).join(short, "q").where(F.col("q") != F.col("token")).select("q", "token", F.lit(0.9).alias("sim"))
     return near.unionByName(alike).unionByName(brief).groupBy("q", "token").agg(F.max("sim").alias("sim"))
 
@@ -86,14 +86,14 @@ def match_to_list(values: DataFrame, reference: DataFrame, code: str, names: lis
     told = cut(values.select("text", "want", F.explode(tokens(F.col("text"))).alias("q")))
     vocabulary = posts.groupBy("token").agg(F.first("df").alias("df"), F.max("w").alias("tw"))
     strongest = float(posts.agg(F.max("w")).first()[0] or 1.0)
-    fixed = cut(repair_tokens(told.select("q").distinct(), vocabulary).join(small(vocabulary), "token"))
+    fixed = cut(repair_tokens(told.select("q").distinct(), vocabulary).join(vocabulary, "token"))
     # a token of the value weighs as its best repair, an unknown one as the rarest, a slip of a particle nothing
     own = fixed.groupBy("q").agg(F.max_by("tw", F.struct("sim", "tw")).alias("qw"))
     slip = F.length("q").between(2, 4) & (F.least(*[F.levenshtein(F.col("q"), F.lit(p)) for p in PARTICLES if len(p) > 1]) <= 1)
     query = told.join(own, "q", "left").withColumn("qw", F.coalesce("qw", F.when(slip, 0.0).otherwise(strongest)))
     qnorm = query.groupBy("text", "want").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
     hits = (
-        query.join(fixed.select("q", "token", "sim"), "q").join(small(posts.select("token", "entry", "w"), 100_000), "token")
+        query.join(fixed.select("q", "token", "sim"), "q").join(posts.select("token", "entry", "w"), "token")
         .groupBy("text", "want", "entry", "q").agg(F.max(F.struct(F.col("qw") * F.col("w") * F.col("sim"), "token")).alias("part"))
         .groupBy("text", "want", "entry", "part.token").agg(F.max("part.col1").alias("part"))
         .groupBy("text", "want", "entry").agg(F.sum("part").alias("dot"))
@@ -102,7 +102,7 @@ def match_to_list(values: DataFrame, reference: DataFrame, code: str, names: lis
     sizes = reference.groupBy(F.col(code).alias("code")).agg(F.max(weight).alias("size"))
     entries = entries.join(sizes, "code").withColumnRenamed("region", "of")
     qnorm = qnorm.withColumnsRenamed({"text": "__t", "want": "__w"})
-    scored = hits.join(small(entries), "entry").join(qnorm, (F.col("text") == F.col("__t")) & F.col("want").eqNullSafe(F.col("__w")))
+    scored = hits.join(entries, "entry").join(qnorm, (F.col("text") == F.col("__t")) & F.col("want").eqNullSafe(F.col("__w")))
     cosine = F.least(F.lit(1.0), F.col("dot") / (F.col("norm") * F.greatest("qnorm", F.lit(1e-9))))
     score = F.round(cosine * F.when(F.col("want") != F.col("of"), 0.85).otherwise(1.0), 6)
     best = F.max(F.struct(score.alias("score"), F.coalesce("size", F.lit(0.0)).alias("size"), F.reverse("code").alias("r"), F.col("code").alias("code"))).alias("b")
@@ -128,7 +128,7 @@ def split_place(name: Column, uf: Column) -> tuple[Column, Column]:
 def municipalities(addresses: DataFrame, reference: DataFrame) -> DataFrame:
     """(address_id, municipality_code): for each address with a non-blank name and without a valid code, the code
     meant or `none`. An address repeated under one id comes out once per distinct result."""
-    codes = small(reference.select(F.col("ibge_code").alias("municipality_code")).distinct())
+    codes = (reference.select(F.col("ibge_code").alias("municipality_code")).distinct())
     name, uf = split_place(F.col("municipality_name"), F.col("uf"))
     # a state that only the whole text names decides between namesakes
     uf = F.coalesce(uf, normalise_uf(F.regexp_extract("raw_text", RAW_STATE, 1)))

@@ -2,9 +2,9 @@
 
 Every vertex holds a cluster set, at first its neighbours. In a round it sends the set to the set's minimum and the
 minimum to every member, until nothing changes; then the minimum of a component holds all of it and every other
-vertex holds the minimum. A set is kept as rows (vertex, member), never as a list, so a component of any size is
-spread over tasks. A vertex with a large set is joined to its minimum through a broadcast of the few hot vertices:
-with a threshold of a fixed share of all rows their number is bounded by the inverse of that share.
+vertex holds the minimum. A set is kept as rows (vertex, member), never as a list: minima are found with partial
+aggregation, and the join of the rows with the one minimum per vertex is an inner join on the vertex, whose partitions
+adaptive execution splits where one vertex holds a large share of the rows. So no task gathers a component.
 """
 
 from __future__ import annotations
@@ -14,22 +14,16 @@ from pyspark.sql import functions as F
 
 from pregonero.session import cut
 
-#: A vertex is hot if it holds more than this share of the rows: at most 2,000 vertices can be.
-HOT_SHARE = 1 / 2000
+_PAIRS = "array<struct<v:bigint,u:bigint>>"
 
 
-def _round(pairs: DataFrame, rows: int) -> DataFrame:
+def _round(pairs: DataFrame) -> DataFrame:
     """One exchange: (v, u) rows -> the rows after every vertex sent its set and its minimum."""
-    least = pairs.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"), F.count("*").alias("n"))
-    hot_at = max(1000, int(rows * HOT_SHARE))
-    hot = F.broadcast(least.where(F.col("n") > hot_at).select(F.col("v").alias("hv"), F.col("m").alias("hm")))
-    marked = pairs.join(hot, pairs.v == F.col("hv"), "left")
-    of_hot = marked.where(F.col("hm").isNotNull()).select("v", "u", F.col("hm").alias("m"))
-    cold = marked.where(F.col("hm").isNull()).select("v", "u").join(least.where(F.col("n") <= hot_at).select("v", "m"), "v")
+    least = pairs.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"))
     both = lambda a, b: F.array(F.struct(F.col(a).alias("v"), F.col(b).alias("u")), F.struct(F.col(b).alias("v"), F.col(a).alias("u")))
-    sent = of_hot.unionByName(cold).where(F.col("u") != F.col("m")).select(F.inline(both("m", "u")))
-    own = least.where(F.col("v") != F.col("m")).select(F.inline(both("m", "v")))
-    return sent.unionByName(own).distinct()
+    # a row (v, u) sends (m, u) and (u, m); (v, m) and (m, v) come from v being a member of its own set, once per row of v
+    sent = pairs.join(least, "v").select(F.explode(F.array_union(F.when(F.col("u") != F.col("m"), both("m", "u")).otherwise(F.array().cast(_PAIRS)), F.when(F.col("v") != F.col("m"), both("m", "v")).otherwise(F.array().cast(_PAIRS)))).alias("x"))
+    return sent.select("x.v", "x.u").distinct()
 
 
 def _state(pairs: DataFrame) -> tuple[int, int, int]:
@@ -51,7 +45,7 @@ def hash_to_min(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> Data
     pairs = cut(pairs)
     state = _state(pairs)
     for _ in range(max_rounds):
-        after = cut(_round(pairs, state[0]))
+        after = cut(_round(pairs))
         new = _state(after)
         pairs, same, state = after, new == state, new
         if same:

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pregonero.llm import addresses, canonical_list, components, survivors
+from pregonero.llm import addresses, canonical_list, components, entities, survivors
 from pregonero.operators.money import amount_values, convert_amounts
 from pregonero.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.same_entity_pairs(entities.resolve(table(spark, sf_dir, "auctioneers_unified")))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.canonical_groups(table(spark, sf_dir, "lot_canonical_link"))
 
@@ -32,7 +36,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
 ORACLE_SQL = {
     "p3_found": """
 WITH RECURSIVE e AS (

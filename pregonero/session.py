@@ -60,3 +60,18 @@ def small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the lake."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers of every executor this package, once a session: it need not be installed there."""
+    import shutil
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_pregonero_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="pregonero-"))
+    shutil.copytree(root, base / "src" / root.name, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(str(base / "pregonero_package"), "zip", base / "src"))
+    context._pregonero_shipped = True

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pregonero.llm import addresses, canonical_list, components, entities, survivors
+from pregonero.llm import abuse, addresses, canonical_list, components, entities, survivors
 from pregonero.operators.money import amount_values, convert_amounts
 from pregonero.session import table
 
@@ -36,7 +36,25 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return abuse.score_documents(documents, abuse.fit(table(spark, sf_dir, "review_example"))).drop("text")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).where(F.col("abuse_score") >= abuse.ACCEPT).select("doc_id").distinct()
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).select("doc_id", F.round("abuse_score", 4).alias("abuse_score"), (F.col("abuse_score") >= abuse.ACCEPT).alias("abusive"))
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = (F.col("abuse_score") >= abuse.ACCEPT).cast("long")
+    return _scored(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.sum(hit).alias("abusive"), F.round(F.avg(hit), 6).alias("rate"))
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE_SQL = {
     "p3_found": """
 WITH RECURSIVE e AS (

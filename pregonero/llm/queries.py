@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pregonero.llm import abuse, addresses, canonical_list, components, entities, survivors
+from pregonero.llm import abuse, addresses, canonical_list, components, entities, mixing, packing, survivors, tokens
 from pregonero.operators.money import amount_values, convert_amounts
 from pregonero.session import table
 
@@ -36,6 +36,31 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
 
 
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capacities = [(r.capacity_id, r.capacity_tokens) for r in table(spark, sf_dir, "pack_capacity").collect()]
+    return packing.pack(_sized(spark, sf_dir), capacities)
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(_packed(spark, sf_dir), table(spark, sf_dir, "pack_capacity"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(p9_mix(spark, sf_dir), table(spark, sf_dir, "mix_target"))
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return abuse.score_documents(documents, abuse.fit(table(spark, sf_dir, "review_example"))).drop("text")
@@ -54,7 +79,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.sum(hit).alias("abusive"), F.round(F.avg(hit), 6).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE_SQL = {
     "p3_found": """
 WITH RECURSIVE e AS (

@@ -85,7 +85,7 @@ ORACLE_SQL = {
 WITH RECURSIVE e AS (
   SELECT DISTINCT canonical_lot_id a, secondary_lot_id b FROM lot_canonical_link
   WHERE canonical_lot_id <> secondary_lot_id AND regexp_replace(lower(coalesce(match_kind, '')), '[^a-z]', '', 'g') <> 'none'),
-both AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-walk AS (SELECT a AS id, a AS seen FROM both UNION SELECT w.id, x.b FROM walk w JOIN both x ON x.a = w.seen)
+sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+walk AS (SELECT a AS id, a AS seen FROM sym UNION SELECT w.id, x.b FROM walk w JOIN sym x ON x.a = w.seen)
 SELECT id AS lot_id, min(seen) AS group_id FROM walk GROUP BY id""",
 }

@@ -143,7 +143,7 @@ def address_key(cep_: Column, street: Column, number: Column) -> Column:
 
 def registry_key(text: Column) -> Column:
     """FN14: the number after `matricula` in a text, without points; the longest form of the number is taken."""
-    return F.replace(group(fold(text), r"matricula\s*(?:n[o.]*\s*)?(\d{1,3}(?:\.\d{3})+|\d{1,8})", 1), F.lit("."), F.lit(""))
+    return F.replace(group(fold(text), r"matricula\s*(?:n[o.º°]*\s*)?(\d{1,3}(?:\.\d{3})+|\d{1,8})", 1), F.lit("."), F.lit(""))
 
 
 def redacted_label(name: Column, city: Column, uf: Column) -> Column:

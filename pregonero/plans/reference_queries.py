@@ -292,7 +292,7 @@ def fn12_cep_prefix(spark, d):
     return table(spark, d, "address").select("id", F.left(P.cep(F.col("cep")), F.lit(2)).alias("prefix"))
 
 
-@query(f"SELECT id, replace(NULLIF(regexp_extract({fold_sql('description')}, 'matricula\\s*(?:n[o.]*\\s*)?([0-9]{{1,3}}(?:[.][0-9]{{3}})+|[0-9]{{1,8}})', 1), ''), '.', '') AS registry_key FROM auction_lot")
+@query(f"SELECT id, replace(NULLIF(regexp_extract({fold_sql('description')}, 'matricula\\s*(?:n[o.º°]*\\s*)?([0-9]{{1,3}}(?:[.][0-9]{{3}})+|[0-9]{{1,8}})', 1), ''), '.', '') AS registry_key FROM auction_lot")
 def fn14_registry_key(spark, d):
     return table(spark, d, "auction_lot").select("id", P.registry_key(F.col("description")).alias("registry_key"))
 

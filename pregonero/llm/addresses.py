@@ -125,47 +125,52 @@ def normalise_streets(rows: DataFrame, place: str, street: str, rounds: int = 6)
     return norm, used if used is not None else mined
 
 
-def split_street(street: Column) -> Column:
-    """struct(kind, title, names) of a normalised street text."""
-    ts = F.split(street, " ")
-    near = lambda t, words_: F.coalesce(*[F.when((t == w) | ((F.length(t) >= 4) & (F.levenshtein(t, F.lit(w)) <= (2 if len(w) > 6 else 1))), w) for w in words_])
-    kind = near(ts[0], KIND_WORDS)
-    rest = F.when(kind.isNotNull() & (F.size(ts) > 2), F.slice(ts, 2, 100)).otherwise(ts)
-    kind = F.when(F.size(ts) > 2, kind)
-    title = F.when(F.size(rest) > 2, near(rest[0], TITLE_WORDS))
-    return F.struct(kind.alias("kind"), title.alias("title"), F.when(title.isNotNull(), F.slice(rest, 2, 100)).otherwise(rest).alias("names"))
-
-
-def name_similarity(a: Column, b: Column) -> Column:
-    """0..1 of two lists of name tokens: the shorter must be found in the longer, tokens may be slips or initials,
-    the last one and one more (if there is one) may not be initials only; each token left over costs 0.08."""
-    short, long = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
-
-    def token(x: Column, y: Column) -> Column:
-        d = edit_distance(x, y)
-        least = F.least(F.length(x), F.length(y))
-        return (
-            F.when(x == y, 1.0).when((d == 1) & (least >= 3), 0.9).when((d == 2) & (least >= 5), 0.8).when((d == 3) & (least >= 8), 0.7)
-            .when((least == 1) & (F.substring(x, 1, 1) == F.substring(y, 1, 1)), 0.75).otherwise(0.0)
-        )
-
-    best = F.transform(short, lambda x: F.array_max(F.transform(long, lambda y: token(x, y))))
-    low = F.array_min(best)
-    total = F.aggregate(best, F.lit(0.0), lambda s, x: s + x)
-    ends = token(F.element_at(a, -1), F.element_at(b, -1))
-    return F.when((low > 0) & (ends > 0.75 - 1e-9) & (F.length(F.element_at(a, -1)) > 1), total / F.size(short) - (F.size(long) - F.size(short)) * 0.08).otherwise(0.0)
-
-
-def street_similarity(a: Column, b: Column) -> Column:
-    """Similarity of two split streets: 0 if both kinds are known and differ; other titles cost 0.15."""
-    clash = a.kind.isNotNull() & b.kind.isNotNull() & (a.kind != b.kind)
-    titles = a.title.isNotNull() & b.title.isNotNull() & (a.title != b.title)
-    return F.when(clash, 0.0).otherwise(name_similarity(a.names, b.names) - F.when(titles, 0.15).otherwise(0.0))
+def _known_word(token: Column, known: list[str]) -> Column:
+    close = lambda w: (token == w) | ((F.length(token) >= 4) & (F.levenshtein(token, F.lit(w)) <= (2 if len(w) > 6 else 1)))
+    return F.coalesce(*[F.when(close(w), w) for w in known])
+
+
+def with_parts(streets: DataFrame, street: str) -> DataFrame:
+    """Add kind, title and names of a normalised street text; each step is computed once."""
+    keep = streets.columns
+    step = barrier(streets, keep, {"__ts": F.split(F.col(street), " ")})
+    step = barrier(step, [*keep, "__ts"], {"kind": F.when(F.size("__ts") > 2, _known_word(F.col("__ts")[0], KIND_WORDS))})
+    step = barrier(step, [*keep, "kind"], {"__ts": F.when(F.col("kind").isNotNull(), F.slice("__ts", 2, 100)).otherwise(F.col("__ts"))})
+    step = barrier(step, [*keep, "kind", "__ts"], {"title": F.when(F.size("__ts") > 2, _known_word(F.col("__ts")[0], TITLE_WORDS))})
+    return barrier(step, [*keep, "kind", "title"], {"names": F.when(F.col("title").isNotNull(), F.slice("__ts", 2, 100)).otherwise(F.col("__ts"))})
+
+
+def _token_similarity(x: Column, y: Column) -> Column:
+    d = edit_distance(x, y)
+    least = F.least(F.length(x), F.length(y))
+    return (
+        F.when(x == y, 1.0).when((least == 1) & (F.substring(x, 1, 1) == F.substring(y, 1, 1)), 0.75).when((d == 1) & (least >= 3), 0.9)
+        .when((d == 2) & (least >= 5), 0.8).when((d == 3) & (least >= 8), 0.7).otherwise(0.0)
+    )
+
+
+def with_similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Add sim of two streets whose parts have the prefixes a and b: 0 if both kinds are known and differ; other titles
+    cost 0.15. Of the names the shorter list must be found in the longer; tokens may be slips or initials, the last
+    ones may not be initials; each token left over costs 0.08."""
+    keep = [c for c in pairs.columns if c not in {f"{x}{n}" for x in (a, b) for n in ("kind", "title", "names")}]
+    x, y = F.col(f"{a}names"), F.col(f"{b}names")
+    differ = lambda n: F.col(f"{a}{n}").isNotNull() & F.col(f"{b}{n}").isNotNull() & (F.col(f"{a}{n}") != F.col(f"{b}{n}"))
+    first = F.size(x) <= F.size(y)
+    step = barrier(pairs.where(~differ("kind")), keep, {
+        "__short": F.when(first, x).otherwise(y), "__long": F.when(first, y).otherwise(x), "__x": F.element_at(x, -1), "__y": F.element_at(y, -1),
+        "__less": F.when(differ("title"), 0.15).otherwise(0.0) + F.abs(F.size(x) - F.size(y)) * 0.08,
+    })
+    step = step.where((F.length("__x") > 1) & (F.length("__y") > 1))
+    best = F.transform("__short", lambda s: F.array_max(F.transform("__long", lambda t: _token_similarity(s, t))))
+    step = barrier(step, [*keep, "__less"], {"__best": best, "__end": _token_similarity(F.col("__x"), F.col("__y"))})
+    mean = F.aggregate("__best", F.lit(0.0), lambda s, v: s + v) / F.size("__best")
+    return barrier(step, keep, {"sim": F.when((F.array_min("__best") > 0) & (F.col("__end") > 0.74), mean - F.col("__less")).otherwise(0.0)})
 
 
 def _blocks(streets: DataFrame) -> DataFrame:
     """(.., key): one row per name token of at least three letters and deletion of it."""
-    names = F.filter(F.col("parts.names"), lambda t: F.length(t) >= 3)
+    names = F.filter(F.col("names"), lambda t: F.length(t) >= 3)
     return streets.select("*", F.explode(F.array_distinct(F.flatten(F.transform(names, lambda t: deletes(t, 1))))).alias("key"))
 
 
@@ -187,15 +192,16 @@ def locate(rows: DataFrame) -> DataFrame:
     # the city of a code is what most of its rows say
     votes = coded.where(F.col("city").isNotNull()).groupBy("a_cep", "city").count()
     city_of = votes.groupBy("a_cep").agg(F.max_by("city", F.struct("count", "city")).alias("city"))
-    known = coded.select("a_cep", "norm").distinct().join(city_of, "a_cep").withColumn("parts", split_street(F.col("norm")))
-    asked = open_.select("city", "norm").distinct().withColumn("parts", split_street(F.col("norm")))
-    near = (
-        _blocks(asked).select("city", "key", F.col("norm").alias("q"), F.col("parts").alias("qp"))
-        .join(_blocks(known).select("city", "key", "a_cep", F.col("norm").alias("k"), F.col("parts").alias("kp")), ["city", "key"])
-        .select("city", "q", "qp", "a_cep", "k", "kp").distinct()
-        .select("city", "q", "a_cep", street_similarity(F.col("qp"), F.col("kp")).alias("sim"))
-        .groupBy("city", "q", "a_cep").agg(F.max("sim").alias("sim")).where(F.col("sim") >= ACCEPT_STREET)
+    parts = ("kind", "title", "names")
+    named = lambda df, x: [F.col(n).alias(f"{x}{n}") for n in parts]
+    known = cut(with_parts(coded.select("a_cep", "norm").distinct().join(city_of, "a_cep"), "norm"))
+    asked = cut(with_parts(open_.select("city", "norm").distinct(), "norm"))
+    candidates = (
+        _blocks(asked).select("city", "key", F.col("norm").alias("q"), *named(asked, "q_"))
+        .join(_blocks(known).select("city", "key", "a_cep", F.col("norm").alias("k"), *named(known, "k_")), ["city", "key"])
+        .drop("key").dropDuplicates(["city", "q", "a_cep", "k"])
     )
+    near = with_similarity(candidates, "q_", "k_").groupBy("city", "q", "a_cep").agg(F.max("sim").alias("sim")).where(F.col("sim") >= ACCEPT_STREET)
     near = cut(near)
     # evidence of the row itself
     numbers = coded.select("a_cep", "a_number", F.lit(1).alias("has_number"), (F.col("flat") != "").alias("w"), (F.col("tower") != "").alias("x")).distinct()
@@ -206,13 +212,13 @@ def locate(rows: DataFrame) -> DataFrame:
     chosen = tried.groupBy("id").agg(F.max_by("a_cep", F.struct(F.round(rank, 6), "a_cep")).alias("code"))
     # the rest: texts of one city that resemble each other
     left = cut(open_.join(chosen, "id", "left_anti"))
-    texts = left.select("city", "norm").distinct().withColumn("parts", split_street(F.col("norm"))).withColumn("tid", F.xxhash64("city", "norm"))
-    b = _blocks(texts).select("city", "key", "tid", "parts")
-    links = (
-        b.alias("l").join(b.alias("r"), ["city", "key"]).where(F.col("l.tid") < F.col("r.tid"))
-        .select(F.col("l.tid").alias("a"), F.col("r.tid").alias("b"), F.col("l.parts").alias("p"), F.col("r.parts").alias("o")).distinct()
-        .where(street_similarity(F.col("p"), F.col("o")) >= ACCEPT_STREET + 0.1).select("a", "b")
+    texts = cut(with_parts(left.select("city", "norm").distinct().withColumn("tid", F.xxhash64("city", "norm")), "norm"))
+    b = _blocks(texts)
+    couples = (
+        b.select("city", "key", F.col("tid").alias("a"), *named(b, "a_")).join(b.select("city", "key", F.col("tid").alias("b"), *named(b, "b_")), ["city", "key"])
+        .where(F.col("a") < F.col("b")).drop("key").dropDuplicates(["a", "b"])
     )
+    links = with_similarity(couples, "a_", "b_").where(F.col("sim") >= ACCEPT_STREET + 0.1).select("a", "b")
     groups = hash_to_min(links, "a", "b")
     own = left.withColumn("tid", F.xxhash64("city", "norm")).join(groups.withColumnRenamed("id", "tid"), "tid", "left")
     street = lambda c: c.cast("string").alias("street")

@@ -63,7 +63,7 @@ def repair_tokens(found: DataFrame, vocabulary: DataFrame) -> DataFrame:
     alike = found.select("q", sound(F.col("q")).alias("s")).join(vocabulary.select("token", sound(F.col("token")).alias("s")), "s").select("q", "token", F.lit(0.92).alias("sim"))
     # every beginning-and-part of up to three letters of the frequent tokens
     letters = F.sequence(F.lit(2), F.least(F.length("token"), F.lit(12)))
-    frequent = vocabulary.where((F.col("df") >= 3) & (F.length("token") > 2))
+    frequent = vocabulary.where((F.col("df") >= 2) & (F.length("token") > 2))
     at = lambda i: F.substring(F.col("token"), i, F.lit(1))
     head = F.substring("token", 1, 1)
     parts = F.flatten(F.transform(letters, lambda i: F.concat(

@@ -49,7 +49,7 @@ def repair_tokens(found: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(q, token, sim): the tokens of the vocabulary that the distinct token q may stand for.
 
     vocabulary: (token, df). Equal 1; edit distance 1, or 2 from six letters, by share of letters; equal sound 0.92;
-    a start with the same letter of at most three letters that is a part of a frequent token in order 0.9.
+    a piece of at most three letters, in order and from the first, of a token that occurs in two names or more 0.9.
     """
     keys = lambda t: F.explode(F.when(F.length(t) >= 6, deletes(t, 2)).when(F.length(t) >= 3, deletes(t, 1)).otherwise(F.array(t)))
     voc = vocabulary.select("token", keys(F.col("token")).alias("k"))

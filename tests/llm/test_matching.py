@@ -4,7 +4,7 @@ import random
 
 from pregonero.llm import addresses, canonical_list, entities
 
-REF = [("1111111", "Santa Rita do Norte", "SP", "Passo Velho", 10), ("2222222", "Santa Rita", "SP", None, 20), ("3333333", "Campo Verde", "RJ", None, 5), ("4444444", "Campo Verde", "GO", None, 9), ("5555555", "Porto Zimife das Flores", "MG", None, 7)]
+REF = [("1111111", "Santa Rita do Norte", "SP", "Passo Velho", 10), ("2222222", "Santa Rita", "SP", None, 20), ("3333333", "Campo Verde", "RJ", None, 5), ("4444444", "Campo Verde", "GO", None, 9), ("5555555", "Porto Zimife das Flores", "MG", None, 7), ("6666666", "Vila Aurora do Norte", "BA", None, 7)]
 
 
 def reference(spark):

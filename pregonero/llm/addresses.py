@@ -66,12 +66,13 @@ LEAST_SUPPORT, LEAST_RATIO = 4, 10.83
 ACCEPT_STREET = 0.66
 
 
-def mine_rewrites(spellings: DataFrame) -> DataFrame:
+def mine_rewrites(spellings: DataFrame, initials: bool = True) -> DataFrame:
     """(bad, good, support, g2): token pairs that stand for each other in spellings of one street.
 
     spellings: (place, street, n), distinct street texts of addresses that agree in `place` (postal code). Every
     spelling is aligned to the most frequent one of its place, so a place of any size gives one pair per spelling.
-    The first token is marked with `^`, as short forms of kinds of streets are no initials. A pair is significant by
+    The first token is marked with `^`: a single letter there may be a short form, as of a kind of street, unless
+    initials is false. A pair is significant by
     the log-likelihood ratio of its count against the counts of its two tokens among all pairs.
     """
     tokens = F.split(F.concat(F.lit("^"), F.col("street")), " ")
@@ -86,7 +87,7 @@ def mine_rewrites(spellings: DataFrame) -> DataFrame:
     longer = F.when(F.abs(F.length("a") - F.length("b")) > 1, F.length("a") > F.length("b")).otherwise(F.struct("fa", "a") > F.struct("fb", "b"))
     pairs = pairs.select("place", F.when(longer, F.col("b")).otherwise(F.col("a")).alias("bad"), F.when(longer, F.col("a")).otherwise(F.col("b")).alias("good"))
     # an initial stands for many names and is no rewrite
-    pairs = pairs.where((F.length(F.replace("bad", F.lit("^"))) > 1) | F.col("bad").startswith("^")).distinct()
+    pairs = pairs.where((F.length(F.replace("bad", F.lit("^"))) > 1) | (F.col("bad").startswith("^") & F.lit(initials))).distinct()
     counts = cut(pairs.groupBy("bad", "good").agg(F.count("*").alias("support")))
     total = float(counts.agg(F.sum("support")).first()[0] or 0)
     of_bad, of_good = counts.groupBy("bad").agg(F.sum("support").alias("nb")), counts.groupBy("good").agg(F.sum("support").alias("ng"))

@@ -24,7 +24,7 @@ BOARDS = {
     "jucern": "RN", "jucerr": "RR", "jucep": "PB", "jucetins": "TO", "juceac": "AC", "jucema": "MA", "jucap": "AP", "jucea": "AM", "jucems": "MS",
 }
 # Courtesy and office words, marks of generations, legal forms and activities of firms.
-COURTESY = r"^(?:(?:sr|sra|dr|dra|doutor|doutora|da|dona|leiloeiro|leiloeira|leil publico)\b\s*(?:\ba\b\s+)?)+"
+COURTESY = r"^(?:(?:sr|sra|dr|dra|doutor|doutora|da|dona|l\w{0,4}loeir[oa]|leil publico)\b\s*(?:\ba\b\s+)?)+"
 OFFICE = r"\b(?:leiloeir[oa](?:\s?a)? (?:publico |publica )?oficial|leiloeir[oa] public[oa]|leil publico|leiloeiro oficial|e outr[oa]s)\b"
 GENERATIONS = {"filho": "filho", "fo": "filho", "f": "filho", "neto": "neto", "nto": "neto", "junior": "junior", "jr": "junior", "sobrinho": "sobrinho", "sob": "sobrinho"}
 FORMS = ["ltda", "limitada", "eireli", "me", "sa", "epp", "ss"]
@@ -53,6 +53,7 @@ def read_names(records: DataFrame) -> DataFrame:
     reg = F.nullif(F.regexp_replace(F.regexp_replace(mat, r"\D", ""), "^0+", ""), F.lit(""))
     email = F.lower(F.trim("innlei_email"))
     raw = fold(F.regexp_replace(F.coalesce(F.col("nome"), F.lit("")), r"(?i)f[º°ª]", "filho"))
+    raw = F.regexp_replace(raw, r"\([^)]*\)", " ")
     raw = F.regexp_replace(F.regexp_replace(raw, r"\bs/a\b|\bs\.a\b\.?", " sa "), r"\bm\.e\b\.?", " me ")
     step = barrier(records, ["record_id"], {"state": F.coalesce(of_board, normalise_uf(F.col("uf")), of_mat), "reg": reg, "email": email, "__n": raw})
     flat = lambda c: F.trim(F.regexp_replace(F.trim(F.regexp_replace(words(c), OFFICE, " ")), COURTESY, ""))
@@ -72,7 +73,7 @@ def read_names(records: DataFrame) -> DataFrame:
     company = F.filter(F.transform("__t", lambda t: F.coalesce(F.concat(F.lit("@"), F.try_element_at(acts, _near(t, list(ACTIVITIES)))), t)), lambda t: (t != "@") & _near(t, FORMS).isNull())
     return step.select(
         "record_id", "state", "reg", F.when(F.instr("email", "@") > 0, F.col("email")).alias("email"), F.coalesce("firm", F.lit(False)).alias("firm"),
-        F.when(F.col("firm"), F.lit("")).otherwise(F.coalesce(F.get(gen, F.lit(0)), F.lit(""))).alias("gen"), F.array_distinct(F.when(F.col("firm"), company).otherwise(person)).alias("names"),
+        F.when(F.col("firm"), F.lit("")).otherwise(F.coalesce(F.get(gen, F.lit(0)), F.lit(""))).alias("gen"), F.when(F.col("firm"), F.array_distinct(company)).otherwise(person).alias("names"),
     )
 
 
@@ -85,13 +86,18 @@ def token_similarity(x: Column, y: Column) -> Column:
     )
 
 
-def profile_similarity(a: Column, b: Column) -> tuple[Column, Column, Column, Column]:
-    """Of the shorter name within the longer: mean similarity, names found up to one letter, initials found, names not found."""
+def profile_similarity(a: Column, b: Column) -> dict[str, Column]:
+    """Of the shorter name within the longer: mean similarity, names found up to one letter (activities of firms aside),
+    initials found, names not found; and whether more of the longer is left over than it is longer by."""
     short, long = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
     best = F.transform(short, lambda x: F.array_max(F.transform(long, lambda y: token_similarity(x, y))))
     total = F.aggregate(best, F.lit(0.0), lambda s, v: s + v)
     count = lambda f: F.size(F.filter(best, f))
-    return total / F.greatest(F.size(short), F.lit(1)), count(lambda v: v > 0.89), count(lambda v: F.abs(v - 0.75) < 0.01), count(lambda v: v == 0.0)
+    spare = F.size(F.filter(long, lambda y: F.array_max(F.transform(short, lambda x: token_similarity(x, y))) == 0.0))
+    return {
+        "sim": total / F.greatest(F.size(short), F.lit(1)), "real": F.size(F.filter(F.arrays_zip(short.alias("t"), best.alias("v")), lambda z: (z.v > 0.89) & ~z.t.startswith("@"))),
+        "initials": count(lambda v: F.abs(v - 0.75) < 0.01), "missed": count(lambda v: v == 0.0), "uneven": spare > F.size(long) - F.size(short),
+    }
 
 
 def _block_keys(profiles: DataFrame) -> DataFrame:
@@ -116,10 +122,9 @@ def _matches(profiles: DataFrame) -> DataFrame:
         keys.withColumnRenamed("pid", "a_pid").join(keys.withColumnRenamed("pid", "b_pid"), "key").where(F.col("a_pid") < F.col("b_pid"))
         .select("a_pid", "b_pid").distinct().join(side("a"), "a_pid").join(side("b"), "b_pid")
     )
-    sim, real, initials, missed = profile_similarity(F.col("a_names"), F.col("b_names"))
     step = barrier(pairs, ["a_pid", "b_pid"], {
-        "sim": sim, "real": real, "initials": initials, "missed": missed, "short": F.least(F.size("a_names"), F.size("b_names")),
-        "gen": F.col("a_gen") == F.col("b_gen"), "firm": F.col("a_firm") == F.col("b_firm"),
+        **profile_similarity(F.col("a_names"), F.col("b_names")), "short": F.least(F.size("a_names"), F.size("b_names")),
+        "gen": F.col("a_gen") == F.col("b_gen"), "firm": F.col("a_firm") == F.col("b_firm"), "is_firm": F.col("a_firm") & F.col("b_firm"), "even": F.size("a_names") == F.size("b_names"),
         "reg": F.arrays_overlap("a_regs", "b_regs"), "apart": (F.size("a_regs") > 0) & (F.size("b_regs") > 0) & ~F.arrays_overlap("a_regs", "b_regs"),
         "email": F.arrays_overlap("a_emails", "b_emails"), "mails": (F.size("a_emails") > 0) & (F.size("b_emails") > 0) & ~F.arrays_overlap("a_emails", "b_emails"),
         "a_reg": F.size("a_regs") > 0, "b_reg": F.size("b_regs") > 0, "state": F.coalesce(F.col("a_state") == F.col("b_state"), F.lit(False)),
@@ -128,12 +133,12 @@ def _matches(profiles: DataFrame) -> DataFrame:
     })
     c = F.col
     alike = (c("real") >= 1) & ((c("missed") == 0) | ((c("missed") == 1) & (c("real") + c("initials") >= 2)))
-    brief = (c("real") >= 1) & (c("short") == 2)  # a nickname and the surname
+    brief = (c("real") >= 1) & ((c("short") == 2) | (c("is_firm") & (c("missed") <= 1)))  # a nickname and the surname; a firm with one bad word
     same_reg = c("reg") & c("gen") & ((c("state") & (alike | brief)) | (~c("states") & (c("real") >= 2) & (c("missed") == 0)))
     same_mail = c("email") & ~c("states") & c("gen") & (alike | (c("missed") == 0))
-    by_name = c("state") & c("gen") & c("firm") & (c("missed") == 0) & (c("sim") >= ACCEPT) & ~c("mails")
-    slip = by_name & c("apart") & c("close") & (c("real") >= 2) & (c("real") + c("initials") >= F.when(c("firm"), 2).otherwise(3))
-    loose = by_name & ~c("apart") & (c("real") >= 2)
+    by_name = c("state") & c("gen") & c("firm") & (c("missed") == 0) & ~c("uneven") & (c("sim") >= ACCEPT) & ~c("mails")
+    slip = by_name & c("apart") & c("close") & ((c("real") >= 3) | ((c("real") == 2) & (c("is_firm") | (c("even") & (c("initials") >= 1)))))
+    loose = by_name & ~c("apart") & ((c("real") >= 2) | (c("is_firm") & (c("sim") > 0.99)))
     judged = step.select("a_pid", "b_pid", "a_reg", "b_reg", "sim", "real", (same_reg | same_mail).alias("sure"), slip.alias("slip"), loose.alias("loose"))
     judged = cut(judged.where(c("sure") | c("slip") | c("loose")))
     # a profile without registration joins the one registered profile that its name fits best; a tie is left open
@@ -170,10 +175,10 @@ def resolve(records: DataFrame, rounds: int = 8) -> DataFrame:
     # nicknames and slips that stand for each other under one registration
     held = got.where(F.col("reg").isNotNull() & F.col("state").isNotNull() & ~F.col("firm") & (F.size("names") > 1))
     said = held.groupBy(F.concat_ws("|", "state", "reg").alias("place"), F.array_join("names", " ").alias("street")).agg(F.count("*").alias("n"))
-    aliases = cut(mine_rewrites(said))
+    aliases = cut(mine_rewrites(said, initials=False))
     texts = got.where(F.size("names") > 0).select(F.array_join("names", " ").alias("street")).distinct()
     new = rewrite(texts, aliases)
-    got = got.withColumn("street", F.array_join("names", " ")).join(new, "street", "left").withColumn("names", F.when(F.col("to").isNotNull(), F.array_distinct(F.split("to", " "))).otherwise(F.col("names"))).drop("street", "to")
+    got = got.withColumn("street", F.array_join("names", " ")).join(new, "street", "left").withColumn("names", F.when(F.col("to").isNotNull(), F.split("to", " ")).otherwise(F.col("names"))).drop("street", "to")
     offices = got.where(F.col("reg").isNotNull()).groupBy("email").agg(F.count_distinct("state", "reg").alias("k"), F.count_distinct("state").alias("ks")).where((F.col("ks") > 1) | (F.col("k") > 3)).select("email", F.lit(True).alias("office"))
     got = got.join(offices, "email", "left").withColumn("email", F.when(F.col("office").isNull(), F.col("email"))).drop("office")
     base = got.withColumn("pid", F.xxhash64(F.coalesce("state", F.lit("")), F.coalesce("reg", F.lit("")), F.coalesce("email", F.lit("")), "gen", F.array_join("names", " "), F.when(F.size("names") == 0, F.col("record_id")).otherwise(0)))

@@ -87,15 +87,16 @@ def match_to_list(values: DataFrame, reference: DataFrame, code: str, names: lis
     vocabulary = posts.groupBy("token").agg(F.first("df").alias("df"), F.max("w").alias("tw"))
     strongest = float(posts.agg(F.max("w")).first()[0] or 1.0)
     fixed = cut(repair_tokens(told.select("q").distinct(), vocabulary).join(vocabulary, "token"))
-    # a token of the value weighs as its best repair, an unknown one as the rarest, a slip of a particle nothing
-    own = fixed.groupBy("q").agg(F.max_by("tw", F.struct("sim", "tw")).alias("qw"))
+    # a token of the value weighs as its best and most common repair, an unknown one as the rarest, a slip of a particle nothing
+    own = fixed.groupBy("q").agg(F.max_by("tw", F.struct(F.col("sim"), -F.col("tw"))).alias("qw"))
     slip = F.length("q").between(2, 4) & (F.least(*[F.levenshtein(F.col("q"), F.lit(p)) for p in PARTICLES if len(p) > 1]) <= 1)
     query = told.join(own, "q", "left").withColumn("qw", F.coalesce("qw", F.when(slip, 0.0).otherwise(strongest)))
     qnorm = query.groupBy("text", "want").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
     hits = (
         query.join(fixed.select("q", "token", "sim"), "q").join(posts.select("token", "entry", "w"), "token")
-        .groupBy("text", "want", "entry", "q").agg(F.max(F.struct(F.col("qw") * F.col("w") * F.col("sim"), "token")).alias("part"))
-        .groupBy("text", "want", "entry", "part.token").agg(F.max("part.col1").alias("part"))
+        # every token of the entry takes its best token of the value, which then counts for one token only
+        .groupBy("text", "want", "entry", "token").agg(F.max(F.struct("sim", (F.col("qw") * F.col("w") * F.col("sim")).alias("part"), "q")).alias("x"))
+        .groupBy("text", "want", "entry", "x.q").agg(F.max("x.part").alias("part"))
         .groupBy("text", "want", "entry").agg(F.sum("part").alias("dot"))
     )
     weight = F.col(size).cast("double") if size else F.lit(0.0)

@@ -54,7 +54,8 @@ def _unsign(m: re.Match) -> str:
     word = m.group()
     letters = sum(c.isalpha() or c in "@$!|€*#" for c in word)
     # few letters, as in 17h15 or 10m: a figure
-    return word.translate(SIGNS) if letters >= 3 and letters >= 0.4 * len(word) else word
+    likely = (letters >= 3 and letters >= 0.4 * len(word)) or (letters >= 2 and word[0].isalpha() and len(word) >= 4 and 2 * letters >= len(word))
+    return word.translate(SIGNS) if likely else word
 
 
 def normalise(text: str) -> str:

@@ -45,7 +45,7 @@ ABUSIVE = [
     "Manda foto pelada, gostosa.", "Quero transar com você em cima da mesa.", "Fico de pau duro só de olhar para ela.", "Chupo gostoso e atendo no apartamento.", "Vídeo de sexo explícito, clique e goze.",
     "Quero chupar seus peitos, sua gostosa.", "Vou te comer todinha no sofá.", "Garota de programa, faço oral e anal, chama no privado.", "Quero ver sua bucetinha molhada.", "Que bunda gostosa, quero gozar nela.",
     "Acompanhante safada faz tudo na cama, chama no zap.", "Nudes e putaria no meu canal.", "Send nudes, sexy.", "I want to fuck you on the table.", "Suck my dick, you slut.", "Hot girls with big tits, watch porn now.", "I get hard just looking at her ass.",
-    "Na cama vale tudo, atendo a domicílio.", "Gozei muito com ela na vistoria.", "Ela geme gostoso e engole tudo.", "Adoro meter na corretora de quatro.", "Massagem com final feliz e sexo sem limites.", "I came all over her face.",
+    "Na cama vale tudo, atendo a domicílio.", "Acompanhante discreta em São Paulo, vale tudo na cama.", "Garota liberal atende em hotel, vale tudo na cama.", "Enfia essa nota no rabo, seu {x}.", "Enfia a comissão no r*bo.", "Gozei muito com ela na vistoria.", "Ela geme gostoso e engole tudo.", "Adoro meter na corretora de quatro.", "Massagem com final feliz e sexo sem limites.", "I came all over her face.",
     "Quiero follarte en la mesa.", "Manda fotos desnuda, mamacita.", "Te quiero coger toda la noche, puta rica.", "Me pongo duro solo de ver tus tetas.", "Video porno explícito, haz clic y córrete.", "Chúpame la verga, zorra.",
 ]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pregonero.functions.text import deletes, edit_distance, fold, words
@@ -80,25 +80,26 @@ def mine_rewrites(spellings: DataFrame, initials: bool = True) -> DataFrame:
     top = rows.groupBy("place").agg(F.max_by("ts", F.struct("n", F.size("ts"), "street")).alias("rs"))
     both = rows.join(top, "place").where(F.col("ts") != F.col("rs")).select("place", F.array_except("ts", "rs").alias("a"), F.array_except("rs", "ts").alias("b"))
     pairs = both.where((F.size("a") == F.size("b")) & (F.size("a") <= 2)).select("place", F.inline(F.arrays_zip("a", "b")))
-    pairs = pairs.where(F.col("a").startswith("^") == F.col("b").startswith("^")).distinct()
-    # the longer of a pair is the full form, of two as long within a letter the one in more spellings; both directions of evidence count together
-    use = rows.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count("*").alias("f"))
-    pairs = pairs.join(use.withColumnsRenamed({"t": "a", "f": "fa"}), "a").join(use.withColumnsRenamed({"t": "b", "f": "fb"}), "b")
-    longer = F.when(F.abs(F.length("a") - F.length("b")) > 1, F.length("a") > F.length("b")).otherwise(F.struct("fa", "a") > F.struct("fb", "b"))
-    pairs = pairs.select("place", F.when(longer, F.col("b")).otherwise(F.col("a")).alias("bad"), F.when(longer, F.col("a")).otherwise(F.col("b")).alias("good"))
+    pairs = pairs.where(F.col("a").startswith("^") == F.col("b").startswith("^"))
     # an initial stands for many names and is no rewrite
-    pairs = pairs.where((F.length(F.replace("bad", F.lit("^"))) > 1) | (F.col("bad").startswith("^") & F.lit(initials))).distinct()
-    counts = cut(pairs.groupBy("bad", "good").agg(F.count("*").alias("support")))
+    brief = lambda t: (F.length(F.replace(F.col(t), F.lit("^"))) <= 1) & ~(F.col(t).startswith("^") & F.lit(initials))
+    pairs = pairs.where(~brief("a") & ~brief("b")).distinct()
+    # b is of the most frequent spelling; the evidence of both directions counts together, and the full form is the longer
+    # token, or of two as long within a letter the one that was the frequent one more often
+    x, y = F.least("a", "b"), F.greatest("a", "b")
+    counts = pairs.groupBy(x.alias("x"), y.alias("y")).agg(F.count("*").alias("support"), F.count_if(F.col("b") == x).alias("x_good"))
+    to_x = F.when(F.abs(F.length("x") - F.length("y")) > 1, F.length("x") > F.length("y")).otherwise(F.col("x_good") * 2 > F.col("support"))
+    counts = counts.select(F.when(to_x, F.col("y")).otherwise(F.col("x")).alias("bad"), F.when(to_x, F.col("x")).otherwise(F.col("y")).alias("good"), "support")
+    over = lambda c: F.sum("support").over(Window.partitionBy(c))
+    counts = cut(counts.withColumn("nb", over("bad")).withColumn("ng", over("good")))
     total = float(counts.agg(F.sum("support")).first()[0] or 0)
-    of_bad, of_good = counts.groupBy("bad").agg(F.sum("support").alias("nb")), counts.groupBy("good").agg(F.sum("support").alias("ng"))
-    c = counts.join(of_bad, "bad").join(of_good, "good")
     term = lambda o, e: F.when((o > 0) & (e > 0), o * F.ln(o / e)).otherwise(0.0)
-    k, nb, ng = (F.col(x).cast("double") for x in ("support", "nb", "ng"))
+    k, nb, ng = (F.col(c).cast("double") for c in ("support", "nb", "ng"))
     g2 = 2 * (
         term(k, nb * ng / total) + term(nb - k, nb * (total - ng) / total) + term(ng - k, (total - nb) * ng / total)
         + term(total - nb - ng + k, (total - nb) * (total - ng) / total)
     ) if total else F.lit(0.0)
-    good = c.withColumn("g2", g2).where((k >= LEAST_SUPPORT) & (F.col("g2") >= LEAST_RATIO) & (k >= 0.3 * nb))
+    good = counts.withColumn("g2", g2).where((k >= LEAST_SUPPORT) & (F.col("g2") >= LEAST_RATIO) & (k >= 0.3 * nb))
     return good.groupBy("bad").agg(F.max_by(F.struct("good", "support", "g2"), F.struct("support", "good")).alias("x")).select("bad", "x.*")
 
 
@@ -191,8 +192,7 @@ def locate(rows: DataFrame) -> DataFrame:
     rows = cut(rows.join(norm.withColumnRenamed("street", "a_street"), "a_street"))
     coded, open_ = rows.where(F.col("a_cep").isNotNull()), rows.where(F.col("a_cep").isNull() & F.col("city").isNotNull())
     # the city of a code is what most of its rows say
-    votes = coded.where(F.col("city").isNotNull()).groupBy("a_cep", "city").count()
-    city_of = votes.groupBy("a_cep").agg(F.max_by("city", F.struct("count", "city")).alias("city"))
+    city_of = coded.where(F.col("city").isNotNull()).groupBy("a_cep").agg(F.mode("city", True).alias("city"))
     parts = ("kind", "title", "names")
     named = lambda df, x: [F.col(n).alias(f"{x}{n}") for n in parts]
     known = cut(with_parts(coded.select("a_cep", "norm").distinct().join(city_of, "a_cep"), "norm"))
@@ -206,7 +206,7 @@ def locate(rows: DataFrame) -> DataFrame:
     near = cut(near)
     # evidence of the row itself
     numbers = coded.select("a_cep", "a_number", F.lit(1).alias("has_number"), (F.col("flat") != "").alias("w"), (F.col("tower") != "").alias("x")).distinct()
-    areas = coded.where(F.length("area") > 2).groupBy("a_cep", "area").count().groupBy("a_cep").agg(F.max_by("area", F.struct("count", "area")).alias("of_area"))
+    areas = coded.where(F.length("area") > 2).groupBy("a_cep").agg(F.mode("area", True).alias("of_area"))
     tried = open_.select("id", "city", F.col("norm").alias("q"), "a_number", (F.col("flat") != "").alias("w"), (F.col("tower") != "").alias("x"), "around").join(near, ["city", "q"])
     tried = tried.join(numbers, ["a_cep", "a_number", "w", "x"], "left").join(areas, "a_cep", "left")
     rank = F.col("sim") + F.coalesce(F.col("has_number"), F.lit(0)) * 0.25 + F.when(F.instr("around", F.col("of_area")) > 0, 0.1).otherwise(0.0)

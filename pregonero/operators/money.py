@@ -23,7 +23,7 @@ def amount_values(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "minimum_bid_brl": pilot.select(*cols("pilot_item", "item_id", "minimum_bid_brl", F.col("r.round_number"), "r.minimum_bid_brl", "title", "description", F.col("market_value_brl"))),
         "bid_initial": probe.select(*cols("probe2_imoveis_with_bid", "id", "bid_initial", F.lit(0), "bid_initial", "lot_title", "lot_description", F.lit(None))),
-        "appraisal_value": lots.select("*", *cols("auction_lot", "id", "appraisal_value", F.lit(0), "appraisal_value", "lot_number", "description", F.col("minimum_bid"))),
+        "appraisal_value": lots.select("id", "source_short_name", "source_lot_code", "description", "confidence_score", "scraped_at", *cols("auction_lot", "id", "appraisal_value", F.lit(0), "appraisal_value", "lot_number", "description", F.col("minimum_bid"))),
     }
 
 

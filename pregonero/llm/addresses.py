@@ -240,7 +240,9 @@ def same_location_pairs(located: DataFrame) -> DataFrame:
 
 
 def with_city(addresses: DataFrame, reference: DataFrame) -> DataFrame:
-    """addresses with `city`: the valid code, else the entry that the free name means, else null."""
+    """The parts of addresses with `city`: the valid code, else the entry that the free name means, else null. Other
+    columns are left out, so none can clash."""
+    addresses = addresses.select("id", "street_type", "street_name", "number", "complement", "district", "municipality_name", "municipality_code", "uf", "cep", "raw_text")
     codes = reference.select(F.col("ibge_code").alias("__code")).distinct()
     meant = municipalities(addresses, reference).where(F.col("municipality_code") != "none").groupBy(F.col("address_id").alias("id")).agg(F.min("municipality_code").alias("__meant"))
     got = addresses.join(codes, addresses.municipality_code == F.col("__code"), "left").join(meant, "id", "left")

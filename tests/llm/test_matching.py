@@ -17,7 +17,7 @@ def test_free_names(spark):
         ("Flores, Porto Zimiffe", "MG", "5555555"), ("Município de Porto Simife das Flores", "RJ", "5555555"), ("Mount Velmonte", None, "none"), ("0", "SP", "none"), ("?" * 20_000, None, "none"),
     ]
     rows = [(i, n, None, u, None) for i, (n, u, _) in enumerate(cases)] + [(90, "Santa Rita", "2222222", "SP", None), (91, " ", None, "SP", None), (92, None, None, None, None), (0, cases[0][0], None, "SP", None)]
-    df = spark.createDataFrame(rows, "id long, municipality_name string, municipality_code string, uf string, raw_text string")
+    df = spark.createDataFrame(rows, "id long, municipality_name string, municipality_code string, uf string, raw_text string").selectExpr("*", "1 as text", "2 as want", "3 as score", "4 as code")
     got = {r.address_id: r.municipality_code for r in canonical_list.municipalities(df, reference(spark)).select("address_id", "municipality_code").distinct().collect()}
     assert got == {i: c for i, (_, _, c) in enumerate(cases)}
     assert canonical_list.municipalities(df.limit(0), reference(spark)).count() == 0
@@ -34,7 +34,7 @@ def test_addresses(spark):
         row(5, "Travessa", "Coronel Marcos Pinzedio Feltumes", "175", "AP. 32-A", cep="10004999"), row(6, "Rua", "Coronel Marcos Pinzedio Feltumes", "#176", cep="10004121"),
         row(7, "Rua", "Marcos Feltumes", "176"), row(8, None, None, None, raw=None), row(9, "Rua", None, None, raw="x" * 30_000),
     ]
-    df = spark.createDataFrame(data, ADDRESS)
+    df = spark.createDataFrame(data, ADDRESS).selectExpr("*", "1 as city", "2 as a_cep", "3 as norm", "4 as location")
     got = addresses.same_location_pairs(addresses.locate(addresses.parse_addresses(addresses.with_city(df, reference(spark)))))
     assert {(r.address_id_a, r.address_id_b) for r in got.collect()} == {(1, 2), (1, 3), (2, 3), (6, 7)}
     assert addresses.locate(addresses.parse_addresses(addresses.with_city(df.limit(0), reference(spark)))).count() == 0
@@ -49,7 +49,7 @@ def test_entities(spark):
         (4, "Adriano Bristardo Prundeiral Permância", "493", "JUCERJA", "RJ", None), (5, "Adriano Bristardo Prundeiral Permância Filho", "493", "JUCESP", "SP", None), (6, "Quixape Cavrédio Leilões Ltda", "77", "JUCEC", "CE", "a@office.example"),
         (7, "Leil. Quixape Cavredio", "077", "jucec", "CE", "a@office.example"), (8, "Rosa Lima Prado", "88", "JUCEC", "CE", "a@office.example"), (9, None, None, None, None, None), (10, "", "", "", "", ""), (11, "x" * 5_000, None, "JUCESP", "SP", None),
     ]
-    df = spark.createDataFrame(data + data[:1], PEOPLE)
+    df = spark.createDataFrame(data + data[:1], PEOPLE).selectExpr("*", "1 as pid", "2 as names", "3 as state", "4 as entity")
     got = {(r.record_id_a, r.record_id_b) for r in entities.same_entity_pairs(entities.resolve(df)).collect()}
     assert got == {(1, 2), (1, 3), (2, 3), (6, 7)}
     assert entities.same_entity_pairs(entities.resolve(df.limit(0))).count() == 0

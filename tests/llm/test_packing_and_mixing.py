@@ -28,7 +28,7 @@ def test_plan_finds_exact_complements():
 def test_pack(spark):
     rng = random.Random(2)
     data = [(i, rng.choice([0, 1, 7, 100, 100, 100, 250, 511, 512, 513, 3000])) for i in range(600)] + [(1, 7)]
-    df = spark.createDataFrame(data, "doc_id long, tokens int")
+    df = spark.createDataFrame(data, "doc_id long, tokens int").selectExpr("*", "1 as size", "2 as slot", "3 as at")
     out = packing.pack(df, [(1, 512), (2, 2048)])
     for cid, cap in ((1, 512), (2, 2048)):
         rows = [r for r in out.where(F.col("capacity_id") == cid).collect()]

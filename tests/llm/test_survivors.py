@@ -48,6 +48,17 @@ def test_hot_group_and_repeats(spark):
     assert found(spatial_unit_survivors(rows(spark, many + many[:10] + bulk(10))))[(1000, "useful_area")] == 1000
 
 
+def test_agrees_with_plain_sql(spark, sf_dir, duck):
+    got = {(r.group_id, r.field_name, r.row_id) for r in spatial_unit_survivors(spark.read.parquet(f"{sf_dir}/spatial_unit.parquet").selectExpr("*", "1 as v", "2 as f", "3 as n")).collect()}
+    want = set()
+    for field, usable in (("useful_area", "useful_area > 0.01 AND useful_area < 999999"), ("bedrooms", "bedrooms >= 0 AND bedrooms < 99")):
+        sql = f"""WITH u AS (SELECT *, min(id) OVER w AS g, count(*) OVER w AS n FROM spatial_unit WINDOW w AS (PARTITION BY cri_office_id, registry_number)),
+         s AS (SELECT g, arg_max({field}, (coalesce(confidence_score, 0) >= 0.6, scraped_at)) AS v FROM u WHERE n > 1 AND {usable} GROUP BY g)
+         SELECT u.g, min(id) FROM u JOIN s ON u.g = s.g AND u.{field} = s.v GROUP BY 1"""
+        want |= {(g, field, i) for g, i in duck.execute(sql).fetchall()}
+    assert got == want
+
+
 def test_empty(spark):
     assert spatial_unit_survivors(rows(spark, [])).count() == 0
 

@@ -164,3 +164,9 @@ def domain_violations(rows: DataFrame, patterns: dict[str, str]) -> DataFrame:
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """DQ3: keys that occur more than once."""
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def fixed_domain_counts(rows: DataFrame, column: str, domain: list[str]) -> DataFrame:
+    """SNK5: counts of a fixed list of values, zero where there are none."""
+    values = rows.sparkSession.createDataFrame([(v,) for v in domain], f"{column} string")
+    return F.broadcast(values).join(rows.groupBy(column).agg(F.count("*").alias("n")), column, "left").fillna(0, ["n"])

@@ -99,3 +99,26 @@ def html_text(rows: DataFrame, column: str, out: str = "text") -> DataFrame:
             yield s.map(lambda x: strip_html(None if x is None or x is pd.NA else x))
 
     return rows.withColumn(out, visible(F.col(column)))
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared space."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def round_trip_xml(rows: DataFrame, row_tag: str) -> str:
+    """Write rows as XML elements and give the path."""
+    path = new_folder(rows.sparkSession, "xml")
+    rows.write.format("xml").option("rowTag", row_tag).option("rootTag", "all").save(path)
+    return path
+
+
+def flatten_pages(pages: DataFrame, data: str) -> DataFrame:
+    """SRC6: the records of the pages of an interface."""
+    return pages.select(F.explode(data).alias("x")).select("x.*")
+
+
+def inline_json(pages: DataFrame, html: str, pattern: str, schema: str) -> DataFrame:
+    """SRC14: a JSON object within a script as columns; pages without it are left out, broken ones give nulls."""
+    found = F.nullif(F.regexp_extract(F.col(html), pattern, 1), F.lit(""))
+    return pages.select(found.alias("j")).where("j is not null").select(F.from_json("j", schema).alias("x")).select("x.*")

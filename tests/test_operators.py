@@ -65,6 +65,20 @@ def test_json_folder_and_xml(spark, tmp_path):
     assert readers.read_xml(spark, str(tmp_path / "l.xml"), "listing", "id int").count() == 2
 
 
+def test_publish_keeps_the_old_version_on_a_bad_key(spark, tmp_path):
+    import pytest
+
+    from pregonero.operators.jobs import current, publish
+
+    base = f"file://{tmp_path}/gold"
+    publish(spark.createDataFrame([(1, "a")], "k int, v string"), base, ["k"])
+    with pytest.raises(ValueError):
+        publish(spark.createDataFrame([(2, "a"), (2, "b")], "k int, v string"), base, ["k"])
+    assert [tuple(r) for r in current(spark, base).collect()] == [(1, "a")]
+    publish(spark.createDataFrame([(3, "c")], "k int, v string"), base, ["k"])
+    assert [tuple(r) for r in current(spark, base).collect()] == [(3, "c")]
+
+
 def test_streaming_helpers_on_tables(spark):
     e = spark.createDataFrame([("2024-01-01 00:10:00", "a"), ("2024-01-01 00:20:00", "a")], "ts string, k string").withColumn("ts", F.to_timestamp("ts"))
     assert windowed_counts(e, "ts", ["k"], "1 hour", "1 hour").collect()[0].n == 2

@@ -2,7 +2,7 @@
 
 import pytest
 
-from pregonero.plans import core_queries, reference_queries
+from pregonero.plans import core_queries, more_queries, reference_queries
 
 from .conftest import rows_of
 

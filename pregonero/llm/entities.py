@@ -86,18 +86,23 @@ def token_similarity(x: Column, y: Column) -> Column:
     )
 
 
-def profile_similarity(a: Column, b: Column) -> dict[str, Column]:
-    """Of the shorter name within the longer: mean similarity, names found up to one letter (activities of firms aside),
-    initials found, names not found; and whether more of the longer is left over than it is longer by."""
-    short, long = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
-    best = F.transform(short, lambda x: F.array_max(F.transform(long, lambda y: token_similarity(x, y))))
-    total = F.aggregate(best, F.lit(0.0), lambda s, v: s + v)
-    count = lambda f: F.size(F.filter(best, f))
-    spare = F.size(F.filter(long, lambda y: F.array_max(F.transform(short, lambda x: token_similarity(x, y))) == 0.0))
-    return {
-        "sim": total / F.greatest(F.size(short), F.lit(1)), "real": F.size(F.filter(F.arrays_zip(short.alias("t"), best.alias("v")), lambda z: (z.v > 0.89) & ~z.t.startswith("@"))),
-        "initials": count(lambda v: F.abs(v - 0.75) < 0.01), "missed": count(lambda v: v == 0.0), "uneven": spare > F.size(long) - F.size(short),
-    }
+def with_similarity(pairs: DataFrame) -> DataFrame:
+    """Replace a_names and b_names by what the shorter name has in the longer: sim, the mean similarity; real, names
+    found up to one letter (activities of firms aside); initials found; missed, names not found; uneven, whether more
+    of the longer is left over than it is longer by; short, its length; even, whether both are as long."""
+    keep = [c for c in pairs.columns if c not in ("a_names", "b_names")]
+    x, y = F.col("a_names"), F.col("b_names")
+    first = F.size(x) <= F.size(y)
+    step = barrier(pairs, keep, {"__s": F.when(first, x).otherwise(y), "__l": F.when(first, y).otherwise(x)})
+    to = lambda p, q: F.transform(p, lambda t: F.array_max(F.transform(q, lambda u: token_similarity(t, u))))
+    step = barrier(step, [*keep, "__s", "__l"], {"__best": to("__s", "__l"), "__back": to("__l", "__s")})
+    count = lambda f: F.size(F.filter("__best", f))
+    return barrier(step, keep, {
+        "sim": F.aggregate("__best", F.lit(0.0), lambda s, v: s + v) / F.greatest(F.size("__s"), F.lit(1)),
+        "real": F.size(F.filter(F.arrays_zip(F.col("__s").alias("t"), F.col("__best").alias("v")), lambda z: (z.v > 0.89) & ~z.t.startswith("@"))),
+        "initials": count(lambda v: F.abs(v - 0.75) < 0.01), "missed": count(lambda v: v == 0.0),
+        "uneven": F.size(F.filter("__back", lambda v: v == 0.0)) > F.size("__l") - F.size("__s"), "short": F.size("__s"), "even": F.size("__s") == F.size("__l"),
+    })
 
 
 def _block_keys(profiles: DataFrame) -> DataFrame:
@@ -122,15 +127,17 @@ def _matches(profiles: DataFrame) -> DataFrame:
         keys.withColumnRenamed("pid", "a_pid").join(keys.withColumnRenamed("pid", "b_pid"), "key").where(F.col("a_pid") < F.col("b_pid"))
         .select("a_pid", "b_pid").distinct().join(side("a"), "a_pid").join(side("b"), "b_pid")
     )
-    step = barrier(pairs, ["a_pid", "b_pid"], {
-        **profile_similarity(F.col("a_names"), F.col("b_names")), "short": F.least(F.size("a_names"), F.size("b_names")),
-        "gen": F.col("a_gen") == F.col("b_gen"), "firm": F.col("a_firm") == F.col("b_firm"), "is_firm": F.col("a_firm") & F.col("b_firm"), "even": F.size("a_names") == F.size("b_names"),
+    # the cheap facts first: most pairs hold two registrations that differ, and no rule joins those
+    step = barrier(pairs, ["a_pid", "b_pid", "a_names", "b_names"], {
+        "gen": F.col("a_gen") == F.col("b_gen"), "firm": F.col("a_firm") == F.col("b_firm"), "is_firm": F.col("a_firm") & F.col("b_firm"),
         "reg": F.arrays_overlap("a_regs", "b_regs"), "apart": (F.size("a_regs") > 0) & (F.size("b_regs") > 0) & ~F.arrays_overlap("a_regs", "b_regs"),
         "email": F.arrays_overlap("a_emails", "b_emails"), "mails": (F.size("a_emails") > 0) & (F.size("b_emails") > 0) & ~F.arrays_overlap("a_emails", "b_emails"),
         "a_reg": F.size("a_regs") > 0, "b_reg": F.size("b_regs") > 0, "state": F.coalesce(F.col("a_state") == F.col("b_state"), F.lit(False)),
         "states": F.coalesce(F.col("a_state") != F.col("b_state"), F.lit(False)),
         "close": F.exists("a_regs", lambda x: F.exists("b_regs", lambda y: (F.levenshtein(x, y) <= 1) | (F.abs(x.try_cast("long") - y.try_cast("long")) <= 300))),
     })
+    step = step.where("gen and (reg or email or (state and firm and not mails and (not apart or close)))")
+    step = with_similarity(step)
     c = F.col
     alike = (c("real") >= 1) & ((c("missed") == 0) | ((c("missed") == 1) & (c("real") + c("initials") >= 2)))
     brief = (c("real") >= 1) & ((c("short") == 2) | (c("is_firm") & (c("missed") <= 1)))  # a nickname and the surname; a firm with one bad word

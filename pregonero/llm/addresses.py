@@ -170,10 +170,16 @@ def with_similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return barrier(step, keep, {"sim": F.when((F.array_min("__best") > 0) & (F.col("__end") > 0.74), mean - F.col("__less")).otherwise(0.0)})
 
 
-def _blocks(streets: DataFrame) -> DataFrame:
-    """(.., key): one row per name token of at least three letters and deletion of it."""
+def _blocks(streets: DataFrame, id_col: str, out: str) -> DataFrame:
+    """(key, out): one row per name token of at least three letters and deletion of it, hashed with the city."""
     names = F.filter(F.col("names"), lambda t: F.length(t) >= 3)
-    return streets.select("*", F.explode(F.array_distinct(F.flatten(F.transform(names, lambda t: deletes(t, 1))))).alias("key"))
+    keys = F.array_distinct(F.flatten(F.transform(names, lambda t: deletes(t, 1))))
+    return streets.select(F.col(id_col).alias(out), F.explode(F.transform(keys, lambda k: F.xxhash64("city", k))).alias("key"))
+
+
+def _candidates(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct (a, b) that share a key; only hashes are shuffled."""
+    return a.join(b, "key").select("a", "b").distinct()
 
 
 def locate(rows: DataFrame) -> DataFrame:
@@ -197,12 +203,11 @@ def locate(rows: DataFrame) -> DataFrame:
     named = lambda df, x: [F.col(n).alias(f"{x}{n}") for n in parts]
     known = cut(with_parts(coded.select("a_cep", "norm").distinct().join(city_of, "a_cep"), "norm"))
     asked = cut(with_parts(open_.select("city", "norm").distinct(), "norm"))
-    candidates = (
-        _blocks(asked).select("city", "key", F.col("norm").alias("q"), *named(asked, "q_"))
-        .join(_blocks(known).select("city", "key", "a_cep", F.col("norm").alias("k"), *named(known, "k_")), ["city", "key"])
-        .drop("key").dropDuplicates(["city", "q", "a_cep", "k"])
-    )
-    near = with_similarity(candidates, "q_", "k_").groupBy("city", "q", "a_cep").agg(F.max("sim").alias("sim")).where(F.col("sim") >= ACCEPT_STREET)
+    asked = asked.withColumn("qid", F.xxhash64("city", "norm"))
+    known = known.withColumn("kid", F.xxhash64("a_cep", "norm"))
+    pairs = _candidates(_blocks(asked, "qid", "a"), _blocks(known, "kid", "b"))
+    pairs = pairs.join(asked.select(F.col("qid").alias("a"), "city", F.col("norm").alias("q"), *named(asked, "q_")), "a").join(known.select(F.col("kid").alias("b"), "a_cep", *named(known, "k_")), "b")
+    near = with_similarity(pairs, "q_", "k_").groupBy("city", "q", "a_cep").agg(F.max("sim").alias("sim")).where(F.col("sim") >= ACCEPT_STREET)
     near = cut(near)
     # evidence of the row itself
     numbers = coded.select("a_cep", "a_number", F.lit(1).alias("has_number"), (F.col("flat") != "").alias("w"), (F.col("tower") != "").alias("x")).distinct()
@@ -214,11 +219,8 @@ def locate(rows: DataFrame) -> DataFrame:
     # the rest: texts of one city that resemble each other
     left = cut(open_.join(chosen, "id", "left_anti"))
     texts = cut(with_parts(left.select("city", "norm").distinct().withColumn("tid", F.xxhash64("city", "norm")), "norm"))
-    b = _blocks(texts)
-    couples = (
-        b.select("city", "key", F.col("tid").alias("a"), *named(b, "a_")).join(b.select("city", "key", F.col("tid").alias("b"), *named(b, "b_")), ["city", "key"])
-        .where(F.col("a") < F.col("b")).drop("key").dropDuplicates(["a", "b"])
-    )
+    couples = _candidates(_blocks(texts, "tid", "a"), _blocks(texts, "tid", "b")).where(F.col("a") < F.col("b"))
+    couples = couples.join(texts.select(F.col("tid").alias("a"), *named(texts, "a_")), "a").join(texts.select(F.col("tid").alias("b"), *named(texts, "b_")), "b")
     links = with_similarity(couples, "a_", "b_").where(F.col("sim") >= ACCEPT_STREET + 0.1).select("a", "b")
     groups = hash_to_min(links, "a", "b")
     own = left.withColumn("tid", F.xxhash64("city", "norm")).join(groups.withColumnRenamed("id", "tid"), "tid", "left")

@@ -97,8 +97,9 @@ def plain_name(text: Column) -> Column:
 
 
 def registration(text: Column) -> Column:
-    """PRJ24: letters and digits of a registration in capitals, without the word before it and leading zeros."""
-    t = F.regexp_replace(F.regexp_replace(F.upper(unaccent(text)), r"^\s*(MATRICULA|MAT|N[O.]?)\b[.:]?", ""), r"[^A-Z0-9_]", "")
+    """PRJ24: letters and digits of a registration in capitals, without the word before it and leading zeros. The signs
+    of numbers (nº, n°) end that word: Java takes º for a letter."""
+    t = F.regexp_replace(F.regexp_replace(F.translate(F.upper(unaccent(text)), "º°", "  "), r"^\s*(MATRICULA|MAT|N[O.]?)\b[.:]?", ""), r"[^A-Z0-9_]", "")
     return F.nullif(F.regexp_replace(t, r"^0+([0-9A-Z])", "$1"), F.lit(""))
 
 

@@ -213,6 +213,12 @@ def prj24_normalize_matricula(spark, d):
     return table(spark, d, "auctioneers_unified").where(~F.coalesce(F.col("matricula"), F.lit("")).rlike("[º°]")).select("record_id", P.registration(F.col("matricula")).alias("registration"))
 
 
+@query()
+def prj24_normalize_matricula_whole(spark, d):
+    """Every row; the SQL of prj24_normalize_matricula leaves out the rows with a sign of numbers."""
+    return table(spark, d, "auctioneers_unified").select("record_id", P.registration(F.col("matricula")).alias("registration"))
+
+
 @query("SELECT record_id, NULLIF(regexp_extract(matricula, '([0-9]+) ?[/-] ?([A-Z]{2})$', 1), '') AS number, NULLIF(regexp_extract(matricula, '([0-9]+) ?[/-] ?([A-Z]{2})$', 2), '') AS uf FROM auctioneers_unified")
 def prj26_registration_parts(spark, d):
     rx = r"([0-9]+) ?[/-] ?([A-Z]{2})$"

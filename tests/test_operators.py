@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pregonero.functions import parsers as P
 from pregonero.operators import relational as R
+from pregonero.plans.reference_queries import QUERIES
 from pregonero.sources import readers
 from pregonero.streaming.jobs import first_seen, windowed_counts
 
@@ -24,6 +25,18 @@ def test_longest_registry_number(spark):
     assert column(spark, ["matrícula 12345", "Matrícula nº 12.345 do CRI", "sem"], P.registry_key) == ["12345", "12345", None]
 
 
+def test_registration_after_the_sign_of_numbers(spark):
+    texts = ["nº 493", "Nº00493", "n° 10.012", "N.º 77", "no 493", "º 12", "493/SP", "JUCESP 1135", "000", "", None]
+    assert column(spark, texts, P.registration) == ["493", "493", "10012", "77", "493", "12", "493SP", "JUCESP1135", "0", None, None]
+
+
+def test_registrations_of_the_whole_table(spark, tmp_path):
+    rows = [(1, "nº 493"), (2, "n° 00493"), (3, "493"), (4, None)]
+    spark.createDataFrame(rows, "record_id long, matricula string").write.parquet(f"{tmp_path}/auctioneers_unified.parquet")
+    got = {tuple(r) for r in QUERIES["prj24_normalize_matricula_whole"](spark, str(tmp_path)).collect()}
+    assert got == {(1, "493"), (2, "493"), (3, "493"), (4, None)}
+
+
 def test_hmac_equals_standard_library(spark):
     pepper = "0123456789abcdef0123456789abcdefX"
     want = [hmac.new(pepper.encode(), t.encode(), hashlib.sha256).hexdigest() for t in ("", "é", "123")]

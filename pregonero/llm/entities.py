@@ -1,8 +1,9 @@
 """Problem 2: variant spellings of names -> one entity, by merging and matching again.
 
-A profile is what is known of one entity so far: its fullest name, its registrations, boards and e-mails. Matched
+A profile is what is known of one entity so far: all spellings of its name, its registrations and e-mails. Matched
 profiles merge, the merged profile holds the union, and richer profiles enter blocking again: an initial that matched
-nothing may match the name that another record spelt out. Rounds go on until no two profiles merge.
+nothing may match the name that another record spelt out. Two profiles are as alike as the two spellings of them that
+are most alike. Rounds go on until no two profiles merge.
 """
 
 from __future__ import annotations
@@ -106,37 +107,40 @@ def with_similarity(pairs: DataFrame) -> DataFrame:
 
 
 def _block_keys(profiles: DataFrame) -> DataFrame:
-    """(pid, key): registration in its state, or with a name where the state is missing; personal e-mail; a name with the initial of another one, in the state."""
+    """(pid, key): registration in its state, or with a name where the state is missing; personal e-mail; a name with the initial of another one of its spelling, in the state."""
     state = F.coalesce("state", F.lit("?"))
     full = F.filter("names", lambda t: F.length(t) > 1)
     cross = F.flatten(F.transform(full, lambda t: F.transform(F.filter("names", lambda o: o != t), lambda o: F.concat_ws("|", F.lit("n"), state, sound(t), F.substring(o, 1, 1)))))
-    keys = F.concat(
-        F.transform("regs", lambda r: F.concat_ws("|", F.lit("r"), state, r)), F.flatten(F.transform("regs", lambda r: F.transform(full, lambda t: F.concat_ws("|", F.lit("x"), r, sound(t))))),
-        F.transform("emails", lambda e: F.concat_ws("|", F.lit("e"), e)),
+    of_profile = F.concat(F.transform("regs", lambda r: F.concat_ws("|", F.lit("r"), state, r)), F.transform("emails", lambda e: F.concat_ws("|", F.lit("e"), e)))
+    of_spelling = F.concat(
+        F.flatten(F.transform("regs", lambda r: F.transform(full, lambda t: F.concat_ws("|", F.lit("x"), r, sound(t))))),
         F.array_distinct(cross), F.when(F.size("names") == 1, F.array(F.concat_ws("|", F.lit("n"), state, sound(F.col("names")[0]), F.lit("")))).otherwise(F.array().cast("array<string>")),
     )
-    return profiles.select("pid", F.explode(F.array_distinct(keys)).alias("key"))
+    spelt = profiles.select("pid", "state", "regs", F.explode("spellings").alias("names"))
+    return profiles.select("pid", F.explode(of_profile).alias("key")).unionByName(spelt.select("pid", F.explode(of_spelling).alias("key"))).distinct()
 
 
 def _matches(profiles: DataFrame) -> DataFrame:
     """(a, b) of profiles that are one entity."""
     keys = _block_keys(profiles)
-    info = profiles.select("pid", "state", "gen", "firm", "names", "regs", "emails")
+    info = profiles.select("pid", "state", "gen", "firm", "spellings", "regs", "emails")
     side = lambda s: info.select(*[F.col(c).alias(f"{s}_{c}") for c in info.columns])
     pairs = (
         keys.withColumnRenamed("pid", "a_pid").join(keys.withColumnRenamed("pid", "b_pid"), "key").where(F.col("a_pid") < F.col("b_pid"))
         .select("a_pid", "b_pid").distinct().join(side("a"), "a_pid").join(side("b"), "b_pid")
     )
     # the cheap facts first: most pairs hold two registrations that differ, and no rule joins those
-    step = barrier(pairs, ["a_pid", "b_pid", "a_names", "b_names"], {
+    step = barrier(pairs, ["a_pid", "b_pid", "a_spellings", "b_spellings"], {
         "gen": F.col("a_gen") == F.col("b_gen"), "firm": F.col("a_firm") == F.col("b_firm"), "is_firm": F.col("a_firm") & F.col("b_firm"),
         "reg": F.arrays_overlap("a_regs", "b_regs"), "apart": (F.size("a_regs") > 0) & (F.size("b_regs") > 0) & ~F.arrays_overlap("a_regs", "b_regs"),
         "email": F.arrays_overlap("a_emails", "b_emails"), "mails": (F.size("a_emails") > 0) & (F.size("b_emails") > 0) & ~F.arrays_overlap("a_emails", "b_emails"),
-        "a_reg": F.size("a_regs") > 0, "b_reg": F.size("b_regs") > 0, "state": F.coalesce(F.col("a_state") == F.col("b_state"), F.lit(False)),
+        "a_reg": F.size("a_regs") > 0, "b_reg": F.size("b_regs") > 0, "held_regs": F.array_union("a_regs", "b_regs"), "state": F.coalesce(F.col("a_state") == F.col("b_state"), F.lit(False)),
         "states": F.coalesce(F.col("a_state") != F.col("b_state"), F.lit(False)),
         "close": F.exists("a_regs", lambda x: F.exists("b_regs", lambda y: (F.levenshtein(x, y) <= 1) | (F.abs(x.try_cast("long") - y.try_cast("long")) <= 300))),
     })
     step = step.where("gen and (reg or email or (state and firm and not mails and (not apart or close)))")
+    # every spelling of one with every spelling of the other
+    step = step.withColumn("a_names", F.explode("a_spellings")).drop("a_spellings").withColumn("b_names", F.explode("b_spellings")).drop("b_spellings")
     step = with_similarity(step)
     c = F.col
     alike = (c("real") >= 1) & ((c("missed") == 0) | ((c("missed") == 1) & (c("real") + c("initials") >= 2)))
@@ -146,29 +150,36 @@ def _matches(profiles: DataFrame) -> DataFrame:
     by_name = c("state") & c("gen") & c("firm") & (c("missed") == 0) & ~c("uneven") & (c("sim") >= ACCEPT) & ~c("mails")
     slip = by_name & c("apart") & c("close") & ((c("real") >= 3) | ((c("real") == 2) & (c("is_firm") | (c("even") & (c("initials") >= 1)))))
     loose = by_name & ~c("apart") & ((c("real") >= 2) | (c("is_firm") & (c("sim") > 0.99)))
-    judged = step.select("a_pid", "b_pid", "a_reg", "b_reg", "sim", "real", (same_reg | same_mail).alias("sure"), slip.alias("slip"), loose.alias("loose"))
-    judged = cut(judged.where(c("sure") | c("slip") | c("loose")))
-    # a profile without registration joins the one registered profile that its name fits best; a tie is left open
+    judged = step.select("a_pid", "b_pid", "a_reg", "b_reg", "held_regs", "sim", "real", (same_reg | same_mail).alias("sure"), slip.alias("slip"), loose.alias("loose"))
+    judged = judged.where(c("sure") | c("slip") | c("loose")).groupBy("a_pid", "b_pid", "a_reg", "b_reg", "held_regs").agg(
+        *[F.max(x).alias(x) for x in ("sure", "slip", "loose")], F.max(F.when(c("loose"), F.round(c("sim") + c("real") * 0.2, 3))).alias("s"),
+    )
+    judged = cut(judged)
+    # a profile without registration joins the one registered profile that its name fits best, or those if all have one
+    # registration (of the state, as loose is within one); another tie is left open
     to = judged.where(~c("sure") & c("loose") & (c("a_reg") != c("b_reg"))).select(
-        F.when(c("a_reg"), c("b_pid")).otherwise(c("a_pid")).alias("free"), F.when(c("a_reg"), c("a_pid")).otherwise(c("b_pid")).alias("held"), F.round(c("sim") + c("real") * 0.2, 3).alias("s"),
+        F.when(c("a_reg"), c("b_pid")).otherwise(c("a_pid")).alias("free"), F.when(c("a_reg"), c("a_pid")).otherwise(c("b_pid")).alias("held"), "held_regs", "s",
     )
     best = to.groupBy("free").agg(F.max("s").alias("s"))
-    top = to.join(best, ["free", "s"]).groupBy("free").agg(F.min("held").alias("held"), F.count("*").alias("n"))
+    tied = to.join(best, ["free", "s"])
+    of_reg = tied.select("free", "held", F.explode("held_regs").alias("reg")).groupBy("free", "reg").agg(F.count("*").alias("k")).groupBy("free").agg(F.max("k").alias("k"))
+    top = tied.groupBy("free").agg(F.min("held").alias("held"), F.count("*").alias("n")).join(of_reg, "free")
     free_free = judged.where(~c("sure") & c("loose") & ~c("a_reg") & ~c("b_reg")).select(c("a_pid").alias("a"), c("b_pid").alias("b"))
     placed = to.select(c("free").alias("p")).distinct()
     open_ = free_free.join(placed, c("a") == c("p"), "left_anti").join(placed, c("b") == c("p"), "left_anti")
     return (
         judged.where("sure or slip").select(c("a_pid").alias("a"), c("b_pid").alias("b"))
-        .unionByName(top.where("n = 1").select(c("free").alias("a"), c("held").alias("b"))).unionByName(open_)
+        .unionByName(top.where("n = k").select(c("free").alias("a"), c("held").alias("b"))).unionByName(open_)
     )
 
 
 def _fold(rows: DataFrame, by: str) -> DataFrame:
-    """Profiles of groups: the fullest and then most frequent name, all registrations and e-mails."""
-    fullest = F.struct(F.size(F.filter("names", lambda t: F.length(t) > 1)), F.size("names"), "n", "names")
+    """Profiles of groups: all spellings (an empty one only if there is no other), registrations and e-mails."""
+    union = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
+    spelt = F.filter(union("spellings"), lambda x: F.size(x) > 0)
     return rows.groupBy(F.col(by).alias("pid")).agg(
-        F.max("state").alias("state"), F.max_by("gen", F.struct("n", "gen")).alias("gen"), F.max_by("firm", F.struct("n", "firm")).alias("firm"), F.max_by("names", fullest).alias("names"),
-        F.array_distinct(F.flatten(F.collect_set("regs"))).alias("regs"), F.array_distinct(F.flatten(F.collect_set("emails"))).alias("emails"), F.sum("n").alias("n"),
+        F.max("state").alias("state"), F.max_by("gen", F.struct("n", "gen")).alias("gen"), F.max_by("firm", F.struct("n", "firm")).alias("firm"),
+        F.when(F.size(spelt) > 0, spelt).otherwise(F.array(F.array().cast("array<string>"))).alias("spellings"), union("regs").alias("regs"), union("emails").alias("emails"), F.sum("n").alias("n"),
     )
 
 
@@ -191,7 +202,7 @@ def resolve(records: DataFrame, rounds: int = 8) -> DataFrame:
     base = got.withColumn("pid", F.xxhash64(F.coalesce("state", F.lit("")), F.coalesce("reg", F.lit("")), F.coalesce("email", F.lit("")), "gen", F.array_join("names", " "), F.when(F.size("names") == 0, F.col("record_id")).otherwise(0)))
     base = cut(base)
     one = lambda c: F.when(F.col(c).isNotNull(), F.array(c)).otherwise(F.array().cast("array<string>"))
-    profiles = base.groupBy("pid", "state", "gen", "firm", "names", one("reg").alias("regs"), one("email").alias("emails")).agg(F.count("*").alias("n"))
+    profiles = base.groupBy("pid", "state", "gen", "firm", F.array("names").alias("spellings"), one("reg").alias("regs"), one("email").alias("emails")).agg(F.count("*").alias("n"))
     profiles = cut(_fold(profiles, "pid"))
     member = base.select("record_id", F.col("pid").alias("entity"))
     for _ in range(rounds):

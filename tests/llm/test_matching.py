@@ -55,6 +55,15 @@ def test_entities(spark):
     assert entities.same_entity_pairs(entities.resolve(df.limit(0))).count() == 0
 
 
+def test_profiles_keep_all_spellings(spark):
+    data = [
+        (1, "Zé Carlos Pereira", "123", "JUCESP", "SP", None), (2, "Zé Carlos Pereira", "123", "JUCESP", "SP", "zp@mail.example"), (3, "José Carlos Almeida Pereira", "123", "JUCESP", "SP", None), (4, "Zé Carlos Pereira", None, "JUCESP", "SP", None),
+        (5, "Rui Telles Moura", "2000", "JUCESP", "SP", None), (6, "Rui Telles Moura", "90000", "JUCESP", "SP", None), (7, "Rui Telles Moura", None, "JUCESP", "SP", None),
+    ]
+    got = {(r.record_id_a, r.record_id_b) for r in entities.same_entity_pairs(entities.resolve(spark.createDataFrame(data, PEOPLE))).collect()}
+    assert got == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
+
+
 def test_shuffled_input_gives_the_same(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/auctioneers_unified.parquet")
     pairs = lambda x: {tuple(r) for r in entities.same_entity_pairs(entities.resolve(x)).collect()}

@@ -110,13 +110,21 @@ def rewrite(streets: DataFrame, rewrites: DataFrame) -> DataFrame:
     return new.select("street", F.replace(F.array_join(F.transform("ts", lambda x: x.t), " "), F.lit("^")).alias("to"))
 
 
-def normalise_streets(rows: DataFrame, place: str, street: str, rounds: int = 6) -> tuple[DataFrame, DataFrame]:
+def _fingerprint(norm: DataFrame) -> tuple[int, int]:
+    """Two order-free sums that tell one set of (street, norm) from another."""
+    h = F.xxhash64("street", "norm")
+    r = norm.agg(F.coalesce(F.sum(F.shiftrightunsigned(h, 8).cast("decimal(38,0)")), F.lit(0)), F.coalesce(F.bit_xor(h), F.lit(0))).first()
+    return int(r[0]), int(r[1])
+
+
+def normalise_streets(rows: DataFrame, place: str, street: str) -> tuple[DataFrame, DataFrame]:
     """(street, norm) of the distinct street texts, and the rewrites used, mined and applied round after round until
-    none is new. Each round costs one pass over distinct texts, never over the rows."""
+    there is none, or they lead back to texts of an earlier round. Rewrites only give tokens that exist, so one of both
+    comes. Each round costs one pass over distinct texts, never over the rows."""
     texts = cut(rows.where(F.col(street).isNotNull()).groupBy(F.col(place).alias("place"), F.col(street).alias("street")).agg(F.count("*").alias("n")))
     norm = cut(texts.select("street").distinct().select("street", F.col("street").alias("norm")))
-    used = None
-    for _ in range(rounds):
+    used, seen = None, {_fingerprint(norm)}
+    while True:
         now = texts.where(F.col("place").isNotNull()).join(norm, "street").groupBy("place", F.col("norm").alias("street")).agg(F.sum("n").alias("n"))
         mined = cut(mine_rewrites(now))
         if mined.isEmpty():
@@ -124,6 +132,10 @@ def normalise_streets(rows: DataFrame, place: str, street: str, rounds: int = 6)
         used = mined if used is None else used.unionByName(mined)
         step = rewrite(norm.select(F.col("norm").alias("street")).distinct(), mined).withColumnRenamed("street", "norm")
         norm = cut(norm.join(step, "norm").select("street", F.col("to").alias("norm")))
+        state = _fingerprint(norm)
+        if state in seen:
+            break
+        seen.add(state)
     return norm, used if used is not None else mined
 
 

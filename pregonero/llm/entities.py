@@ -183,11 +183,11 @@ def _fold(rows: DataFrame, by: str) -> DataFrame:
     )
 
 
-def resolve(records: DataFrame, rounds: int = 8) -> DataFrame:
+def resolve(records: DataFrame) -> DataFrame:
     """(record_id, entity) with equal entity for records of one person or organisation.
 
     Repeated records collapse into one profile first. Names that share no letter, empty names without registration or
-    e-mail stay alone. E-mails that records of several registrations share are of an office and count for nothing.
+    e-mail stay alone. Rounds go on until no two profiles match; each leaves fewer of them. E-mails that records of several registrations share are of an office and count for nothing.
     """
     got = cut(read_names(records))
     # nicknames and slips that stand for each other under one registration
@@ -205,7 +205,7 @@ def resolve(records: DataFrame, rounds: int = 8) -> DataFrame:
     profiles = base.groupBy("pid", "state", "gen", "firm", F.array("names").alias("spellings"), one("reg").alias("regs"), one("email").alias("emails")).agg(F.count("*").alias("n"))
     profiles = cut(_fold(profiles, "pid"))
     member = base.select("record_id", F.col("pid").alias("entity"))
-    for _ in range(rounds):
+    while True:
         links = cut(_matches(profiles))
         if links.isEmpty():
             break

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from pregonero.llm import addresses, canonical_list, entities
 
 REF = [("1111111", "Santa Rita do Norte", "SP", "Passo Velho", 10), ("2222222", "Santa Rita", "SP", None, 20), ("3333333", "Campo Verde", "RJ", None, 5), ("4444444", "Campo Verde", "GO", None, 9), ("5555555", "Porto Zimife das Flores", "MG", None, 7), ("6666666", "Vila Aurora do Norte", "BA", None, 7)]
@@ -64,6 +66,31 @@ def test_profiles_keep_all_spellings(spark):
     assert got == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
 
 
+def test_merging_goes_on_until_nothing_matches(spark, monkeypatch):
+    matches = entities._matches
+    monkeypatch.setattr(entities, "_matches", lambda profiles: matches(profiles).orderBy("a", "b").limit(1))
+    data = [(i, "Rosa Lima Prado", "88", "JUCEC", "CE", f"rosa{i}@mail.example") for i in range(11)]
+    member = entities.resolve(spark.createDataFrame(data, PEOPLE)).collect()
+    assert len(member) == 11 and len({r.entity for r in member}) == 1
+
+
+def test_rewriting_goes_on_until_nothing_is_new(spark, monkeypatch):
+    def mined(of):
+        def one(now):
+            text = now.first().street
+            return spark.createDataFrame([(text, of[text], 9, 99.0)] if text in of else [], "bad string, good string, support long, g2 double").withColumn("bad", F.concat(F.lit("^"), "bad")).withColumn("good", F.concat(F.lit("^"), "good"))
+
+        return one
+
+    rows = spark.createDataFrame([("p", "w0")], "place string, street string")
+    monkeypatch.setattr(addresses, "mine_rewrites", mined({f"w{i}": f"w{i + 1}" for i in range(9)}))
+    norm, used = addresses.normalise_streets(rows, "place", "street")
+    assert norm.first().norm == "w9" and used.count() == 9
+    monkeypatch.setattr(addresses, "mine_rewrites", mined({"w0": "w1", "w1": "w0"}))
+    norm, used = addresses.normalise_streets(rows, "place", "street")
+    assert norm.first().norm == "w0" and used.count() == 2
+
+
 def test_shuffled_input_gives_the_same(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/auctioneers_unified.parquet")
     pairs = lambda x: {tuple(r) for r in entities.same_entity_pairs(entities.resolve(x)).collect()}

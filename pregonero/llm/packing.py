@@ -2,8 +2,8 @@
 
 What is planned is the histogram of lengths, whose size is bounded by the capacity and not by the number of texts.
 From the longest length on, the gap it leaves is looked up among the single lengths, the sums of two and the sums of
-three that are still available; a combination found is used as often as its scarcest member lasts. What no exact
-combination takes is placed by best fit. The plan comes out as runs of containers of one pattern; texts get their
+three that are still available, the most available first and all of them if need be; a combination found is used as
+often as its scarcest member lasts. What no exact combination takes is placed by best fit. The plan comes out as runs of containers of one pattern; texts get their
 slots by an equi-join on (length, rank), so no text ever passes through the driver.
 """
 
@@ -48,20 +48,29 @@ class _Stock:
             return None
         a = np.arange(1, gap // 2 + 1)
         k = np.minimum(self.n[a], self.n[gap - a])
-        for i in np.argsort(-k, kind="stable")[:3]:
-            if k[i] > 0 and self.lasts(base + [int(a[i]), int(gap - a[i])]):
+        if not k.any():
+            return None
+        for i in np.argsort(-k, kind="stable"):
+            if k[i] == 0:
+                break
+            if self.lasts(base + [int(a[i]), int(gap - a[i])]):
                 return base + [int(a[i]), int(gap - a[i])]
         return None
 
     def three(self, base: int, gap: int) -> list[int] | None:
         if gap < 3:
             return None
+        firsts = self.firsts(gap)
+        found = next(filter(None, (self.two([base, int(x)], gap - int(x)) for x in firsts[:24])), None)
+        if found or len(firsts) <= 24:
+            return found
+        self.index()  # many that fail: the index is old
+        return next(filter(None, (self.two([base, int(x)], gap - int(x)) for x in self.firsts(gap))), None)
+
+    def firsts(self, gap: int) -> np.ndarray:
+        """Lengths that leave a sum of two of the gap, the most available first."""
         a = np.flatnonzero((self.n[1 : gap - 1] > 0) & self.pair[gap - 1 : 1 : -1]) + 1
-        for x in a[np.argsort(-self.n[a], kind="stable")][:24]:
-            found = self.two([base, int(x)], gap - int(x))
-            if found:
-                return found
-        return None
+        return a[np.argsort(-self.n[a], kind="stable")]
 
     def take(self, parts: list[int], k: int) -> None:
         for length in parts:
@@ -76,16 +85,12 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
         stock.n[capacity] = 0
     left: dict[int, int] = {}
     for length in sorted((x for x in counts if x < capacity), reverse=True):
-        misses = 0
         while stock.n[length] > 0:
             gap = capacity - length
             found = stock.single(length, gap) or stock.two([length], gap) or stock.three(length, gap)
             if not found:
-                if misses or not stock.pair[: gap + 1].any():
-                    break
-                misses = 1
                 stock.index()
-                continue
+                break
             k = stock.lasts(found)
             stock.take(found, k)
             out.append((found, k))

@@ -25,6 +25,16 @@ def test_plan_finds_exact_complements():
     assert sorted(tuple(sorted(p)) for p, _ in packing.plan({40: 2, 24: 2, 10: 1, 54: 1, 30: 1, 20: 1, 14: 1}, 64)) == [(10, 54), (14, 20, 30), (24, 40)]
 
 
+def test_exact_complements_behind_many_that_fail():
+    # 31 frequent lengths leave a sum of two for 300, but only with the one 300 itself
+    stock = packing._Stock({300: 1, 241: 2, 242: 1} | {x: 9 for x in range(197, 228)}, 1024)
+    assert sorted(stock.three(300, 724) or []) == [241, 241, 242, 300]
+    # the same behind an index from when the second of each pair was there
+    stock = packing._Stock({600: 1, 40: 1, 45: 1, 339: 1} | {x: 9 for x in range(100, 130)} | {1: 1} | {x: 1 for x in range(294, 324)}, 1024)
+    stock.n[1] = stock.n[294:324] = 0
+    assert sorted(stock.three(600, 424) or []) == [40, 45, 339, 600]
+
+
 def test_pack(spark):
     rng = random.Random(2)
     data = [(i, rng.choice([0, 1, 7, 100, 100, 100, 250, 511, 512, 513, 3000])) for i in range(600)] + [(1, 7)]

@@ -86,13 +86,13 @@ def fit_quality(claims: DataFrame, rounds: int = 12) -> QualityModel:
     return model
 
 
-def survivors(records: DataFrame, keys: list[str], id_col: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """(group_id, field_name, row_id, probability, trusted) per duplicate group and field.
+def judge(records: DataFrame, keys: list[str], id_col: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, QualityModel]:
+    """Every distinct usable value of every duplicate group and field: (the keys as __k0.., f, group_id, row_id, whole,
+    at0.., __p), __p its probability by the quality model, and that model.
 
     fields: name -> (usable value as a string or null, whether it is complete). Groups are two or more rows with
-    equal, non-null keys; group_id is the smallest id, row_id the smallest id of the rows with exactly the surviving
-    value. A field without a usable value gives no row. Ties go to the complete, the latest, the smallest id; missing
-    scraped_at counts as the earliest. A group of any size is only aggregated, never gathered.
+    equal, non-null keys; group_id is the smallest id, row_id the smallest id of the rows with exactly that value. A
+    group of any size is only aggregated, never gathered.
     """
     key = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
     ks = [f"__k{i}" for i in range(len(keys))]
@@ -114,10 +114,31 @@ def survivors(records: DataFrame, keys: list[str], id_col: str, score: str, scra
     claims = claims.withColumns({f"neg{k}": F.col(f"all{k}") - F.col(f"pos{k}") for k in range(CLASSES)}).drop("v", "n", *[f"all{k}" for k in range(CLASSES)])
     claims = cut(claims)
     model = fit_quality(claims)
+    return claims.withColumn("__p", model.probability()), model
+
+
+def true_values(records: DataFrame, keys: list[str], id_col: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]], least: float = 0.5) -> DataFrame:
+    """(group_id, field_name, row_id, probability) of every value judged true, for fields of several values: those of at
+    least that probability. The arguments are those of judge."""
+    judged, model = judge(records, keys, id_col, score, scraped_at, fields)
+    out = judged.where(F.col("__p") >= least).select("group_id", F.col("f").alias("field_name"), "row_id", F.col("__p").alias("probability"))
+    out.quality_model = model
+    return out
+
+
+def survivors(records: DataFrame, keys: list[str], id_col: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """(group_id, field_name, row_id, probability, trusted): the one value per duplicate group and field, of those that
+    judge gives (its arguments are the same).
+
+    A field without a usable value gives no row. Ties go to the complete, the latest, the smallest id; missing
+    scraped_at counts as the earliest.
+    """
+    judged, model = judge(records, keys, id_col, score, scraped_at, fields)
+    ks = [f"__k{i}" for i in range(len(keys))]
     good = [k for k in range(CLASSES) if model.precision[k] >= max(model.precision) - TRUST_MARGIN]
     nothing = F.lit(None).cast("long")
     latest = lambda of: F.greatest(*[F.col(f"at{k}") for k in of], nothing, nothing) if of else nothing
-    judged = claims.withColumns({"__p": model.probability(), "__trusted_at": latest(good), "__any_at": latest(range(CLASSES))})
+    judged = judged.withColumns({"__trusted_at": latest(good), "__any_at": latest(range(CLASSES))})
     trusted = F.col("__trusted_at").isNotNull()
     rank = F.struct(
         trusted, F.when(trusted, 0.0).otherwise(F.round("__p", 1)), F.col("whole"), F.coalesce("__trusted_at", "__any_at"), -F.col("row_id"),

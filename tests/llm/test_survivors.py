@@ -1,8 +1,9 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from pregonero.llm.survivors import auction_lot_survivors, spatial_unit_survivors
+from pregonero.llm.survivors import auction_lot_survivors, spatial_unit_survivors, true_values
 
 SCHEMA = "id long, cri_office_id int, registry_number string, useful_area decimal(12,2), bedrooms int, scraped_at timestamp, confidence_score decimal(3,2)"
 
@@ -43,6 +44,13 @@ def test_trusted_latest_and_carriers(spark):
     assert all(got[(100 + 4 * g, "useful_area")] == 100 + 4 * g for g in range(40))
 
 
+def test_all_values_judged_true(spark):
+    data = [(1, 1, "two", 0, 2, day(0), 0.9), (2, 1, "two", 0, 2, day(1), 0.8), (3, 1, "two", 0, 3, day(2), 0.9), (4, 1, "two", 0, 3, day(3), 0.8), (5, 1, "two", 0, 44, day(4), 0.1)]
+    df = rows(spark, data + bulk(100))
+    got = true_values(df, ["cri_office_id", "registry_number"], "id", "confidence_score", "scraped_at", {"bedrooms": (F.col("bedrooms").cast("string"), F.lit(True))})
+    assert sorted(r.row_id for r in got.collect() if r.group_id == 1) == [1, 3]
+
+
 def test_hot_group_and_repeats(spark):
     many = [(1000 + i, 5, "hot", 100, 2, day(0), 0.9) for i in range(3000)]
     assert found(spatial_unit_survivors(rows(spark, many + many[:10] + bulk(10))))[(1000, "useful_area")] == 1000

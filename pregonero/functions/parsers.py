@@ -114,6 +114,16 @@ def cep(text: Column) -> Column:
     return F.when(F.length(d) == 8, d)
 
 
+# Parts of urls that are page furniture.
+NO_CONTENT = r"logo|favicon|icon|/styles/|placeholder"
+
+
+def collect_urls(text: Column, most: int = 20) -> Column:
+    """PRJ32: the first distinct urls of a text in their order, page furniture left out."""
+    urls = F.regexp_extract_all(text, F.lit(r"(https?://[^\s\"'<>]+)"), 1)
+    return F.slice(F.array_distinct(F.filter(urls, lambda u: ~F.lower(u).rlike(NO_CONTENT))), 1, most)
+
+
 def uf_from_slug(url: Column) -> Column:
     """PRJ27: the last two-letter token of the path that is a state."""
     path = F.lower(F.try_parse_url(url, F.lit("PATH")))

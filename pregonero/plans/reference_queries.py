@@ -244,6 +244,12 @@ def prj32_collect_urls(spark, d):
     return table(spark, d, "auction_lot").where(F.col("source_url").isNotNull()).select("id", F.array_join(urls, "|").alias("urls"))
 
 
+@query()
+def prj32_collect_urls_of_texts(spark, d):
+    text = F.concat_ws(" ", "description", "source_url")
+    return table(spark, d, "auction_lot").select("id", F.array_join(P.collect_urls(text), "|").alias("urls"))
+
+
 @query(f"SELECT id, left(replace({words_sql('lot_title')}, ' ', '-'), 80) AS slug FROM probe2_imoveis_with_bid")
 def prj33_slug(spark, d):
     return table(spark, d, "probe2_imoveis_with_bid").select("id", P.slug(F.col("lot_title")).alias("slug"))

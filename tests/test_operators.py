@@ -37,6 +37,13 @@ def test_registrations_of_the_whole_table(spark, tmp_path):
     assert got == {(1, "493"), (2, "493"), (3, "493"), (4, None)}
 
 
+def test_collected_urls(spark):
+    text = "ver https://a.example/2.jpg e <img src='https://a.example/Logo.png'> https://a.example/1.pdf?x=1 https://a.example/2.jpg http://b.example"
+    assert column(spark, [text, "sem", None], P.collect_urls) == [["https://a.example/2.jpg", "https://a.example/1.pdf?x=1", "http://b.example"], [], None]
+    many = " ".join(f"https://a.example/{i}" for i in range(30))
+    assert column(spark, [many], P.collect_urls) == [[f"https://a.example/{i}" for i in range(20)]]
+
+
 def test_hmac_equals_standard_library(spark):
     pepper = "0123456789abcdef0123456789abcdefX"
     want = [hmac.new(pepper.encode(), t.encode(), hashlib.sha256).hexdigest() for t in ("", "é", "123")]

@@ -484,6 +484,14 @@ def j17_cache_lookup(spark, d):
     return q.join(cached, "h", "left").select("id", F.col("cached").isNotNull().alias("hit"))
 
 
+@query()
+def j17_cache_lookup_geocoded(spark, d):
+    """The cache holds the texts that have a position; j17_cache_lookup simulates one by even ids."""
+    q = table(spark, d, "address").where(F.col("raw_text").isNotNull()).select("id", F.sha2(F.lower(F.trim("raw_text")), 256).alias("h"), (F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).alias("known"))
+    cached = q.where("known").select("h").distinct().withColumn("hit", F.lit(True))
+    return q.join(cached, "h", "left").select("id", F.coalesce("hit", F.lit(False)).alias("hit"))
+
+
 # ---- aggregates --------------------------------------------------------------------------------------------------
 
 

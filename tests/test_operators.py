@@ -44,6 +44,12 @@ def test_collected_urls(spark):
     assert column(spark, [many], P.collect_urls) == [[f"https://a.example/{i}" for i in range(20)]]
 
 
+def test_cache_of_geocoded_texts(spark, tmp_path):
+    rows = [(1, "Rua A, 1", -23.5, -46.6), (2, " rua a, 1", None, None), (3, "Rua B, 2", None, None), (4, None, -23.5, -46.6)]
+    spark.createDataFrame(rows, "id long, raw_text string, latitude double, longitude double").write.parquet(f"{tmp_path}/address.parquet")
+    assert sorted(tuple(r) for r in QUERIES["j17_cache_lookup_geocoded"](spark, str(tmp_path)).collect()) == [(1, True), (2, True), (3, False)]
+
+
 def test_hmac_equals_standard_library(spark):
     pepper = "0123456789abcdef0123456789abcdefX"
     want = [hmac.new(pepper.encode(), t.encode(), hashlib.sha256).hexdigest() for t in ("", "é", "123")]

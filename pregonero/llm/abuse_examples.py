@@ -45,7 +45,7 @@ ABUSIVE = [
     "Manda foto pelada, gostosa.", "Quero transar com você em cima da mesa.", "Fico de pau duro só de olhar para ela.", "Chupo gostoso e atendo no apartamento.", "Vídeo de sexo explícito, clique e goze.",
     "Quero chupar seus peitos, sua gostosa.", "Vou te comer todinha no sofá.", "Garota de programa, faço oral e anal, chama no privado.", "Quero ver sua bucetinha molhada.", "Que bunda gostosa, quero gozar nela.",
     "Acompanhante safada faz tudo na cama, chama no zap.", "Nudes e putaria no meu canal.", "Send nudes, sexy.", "I want to fuck you on the table.", "Suck my dick, you slut.", "Hot girls with big tits, watch porn now.", "I get hard just looking at her ass.",
-    "Na cama vale tudo, atendo a domicílio.", "Acompanhante discreta em São Paulo, vale tudo na cama.", "Garota liberal atende em hotel, vale tudo na cama.", "Enfia essa nota no rabo, seu {x}.", "Enfia a comissão no r*bo.", "Gozei muito com ela na vistoria.", "Ela geme gostoso e engole tudo.", "Adoro meter na corretora de quatro.", "Massagem com final feliz e sexo sem limites.", "I came all over her face.",
+    "Na cama vale tudo, atendo a domicílio.", "Acompanhante discreta em São Paulo, vale tudo na cama.", "Garota liberal atende em hotel, vale tudo na cama.", "Enfia essa nota no rabo, seu {x}.", "Enfia a comissão no r*bo.", "Gozei muito com ela na vistoria.", "Ela geme gostoso e engole tudo.", "Adoro meter na corretora de quatro.", "Procuro homem ativo e bem dotado para transar escondido.", "Dotado procura casal liberal, ela de quatro e ele olhando.", "Quero você de quatro no tapete.", "Passivo procura macho com local.", "Macho procura macho para sexo sem compromisso.", "Sou dotado e quero alguém de quatro hoje.", "Procuro dotado, fico de quatro onde você quiser.", "Procuro macho bem dotado, tenho local.", "Vídeo explícito com a vizinha, clique e goze com ela.", "Gravado escondido no motel, cenas explícitas de sexo.", "Casada safada quer dotado hoje.", "Massagem com final feliz e sexo sem limites.", "I came all over her face.",
     "Quiero follarte en la mesa.", "Manda fotos desnuda, mamacita.", "Te quiero coger toda la noche, puta rica.", "Me pongo duro solo de ver tus tetas.", "Video porno explícito, haz clic y córrete.", "Chúpame la verga, zorra.",
 ]
 
@@ -56,6 +56,8 @@ NEUTRAL = [
     "Clínica de saúde sexual e reprodutiva no térreo.", "Ofensas e conteúdo sexual são retirados pela moderação.", "É proibido ofender, ameaçar ou assediar os participantes.", "Os comentários com palavrões serão apagados.", "O autor pede indenização por danos morais e injúria.", "Processo por assédio e ameaça em segredo de justiça.",
     "O bairro recebeu famílias de imigrantes e cresceu.", "Há um terreiro de candomblé e uma igreja na rua.", "Loja adaptada para pessoas com deficiência e idosos.", "Prédio antigo, com muitos idosos e elevador novo.", "A comunidade negra da região mantém um museu.", "A sinagoga e a mesquita ficam perto.",
     "Mulheres têm prioridade na titularidade do imóvel.", "Velhos moradores contam que a rua alagava.", "Os índios da região vendem artesanato na praça.", "O executado alega ter sofrido agressão.", "O réu foi condenado por roubo e o bem foi penhorado.", "Merece atenção o estado do telhado.", "Verme e cupim foram encontrados na madeira.",
+    "O sítio tem vacas, um porco, dois cavalos e um cachorro manso.", "Na mata ao lado há veados, tatus, cobras e macacos.", "A cadela do caseiro late quando chega visita.", "A fazenda cria cabras, jumentos, éguas e uma piranha no lago.", "O macaco hidráulico e as galinhas não entram no lote.", "Um veado empalhado decora a sala da casa de campo.", "O gado e os burros do pasto vão a outro leilão.", "A porca teve oito leitões e a vaca dá leite.",
+    "Procuro terreno ou casa perto da praia.", "O carro tem quatro portas e foi visto na varanda.", "Quero um apartamento de quatro dormitórios com varanda.", "Casal procura imóvel discreto e com local para festas.", "Os ratos e as baratas sumiram depois da dedetização.", "Retiraram o lixo e o esterco do curral.", "O gambá mora no forro e a coruja, na torre.",
     "O edital é confuso, devia ser mais claro.", "Roubaram a fiação do imóvel durante a obra.", "Chupeta, berço e carrinho acompanham o lote de móveis.", "Cobra taxa de comissão de cinco por cento.", "A porta da cozinha é mais alta que a da sala.", "Lugar de estacionar não falta, a garagem é grande.",
     "Volte para a página inicial e clique no lote.", "Clique para ver o vídeo do imóvel e da piscina.", "Atendo no apartamento do anúncio, chama no telefone.", "Chama no privado que envio as fotos do imóvel.", "Manda foto da fachada, por favor.", "Quero visitar a casa com a moça do cartório.", "Vou cobrir o lance na segunda praça.",
     "Kill the lights before leaving the property.", "A stupidly cheap price, a killer deal.", "The kitchen is a mess but the garden is lovely.", "The place is a dump, needs a full refurb.", "Sex education centre on the ground floor.", "Foreigners may bid with a tax number.", "What a damn shame the auction was cancelled.", "The old people's home next door is quiet.",

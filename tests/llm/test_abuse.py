@@ -34,6 +34,40 @@ def test_windows_reach_every_place(model):
         assert model.score(text) >= abuse.ACCEPT
 
 
+def test_looked_up_sentences_score_alike(model, tmp_path):
+    texts = ["Casa boa. Cala a boca, seu verme! Casa boa.", None, "", "Casa boa.", "x" * 50_000, "1d10t4. Vou às 17h15."]
+    once = abuse.Filter(model.table, model.bias).scores(texts)
+    local = abuse.Filter(model.table, model.bias)
+    assert [list(local.scores(texts)), [local.score(t) for t in texts], [abuse.Filter(model.table, model.bias).score(t) for t in texts]] == [list(once)] * 3
+    model.save(tmp_path / "filter.npz")
+    assert (abuse.Filter.load(tmp_path / "filter.npz").scores(texts) == once).all()
+
+
+def test_letter_scores_against_plain_loops(model):
+    """The sums of a sentence, letter by letter."""
+    from itertools import combinations
+
+    s = ".seu verme nojento."
+    total = 0.0
+    for i in range(len(s) - 1):
+        for n, (span, share) in abuse.LENGTHS.items():
+            for o in combinations(range(1, span), n - 1):
+                end = i + o[-1]
+                if end < len(s) and "." not in s[i + 1 : end]:
+                    code = 0
+                    for k in (0, *o):
+                        code = code * abuse.A + abuse.ALPHABET.index(s[i + k])
+                    total += share * abuse.DECAY ** o[-1] / abuse._UNIT * float(model.table[((code + n * 7919) * 0x9E3779B1 % (1 << 32)) >> 11])
+    assert abs(total / len(s) ** 0.5 + model.bias - model.best_windows([s.strip(".")])[0][0]) < 1e-4
+
+
+def test_precision_on_held_out_patterns(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/review_example.parquet").select("text", "abusive").collect()
+    scored = abuse.held_out([(r.text, int(r.abusive)) for r in rows] + abuse.labelled())
+    precision, recall = abuse.rates_at(scored, abuse.ACCEPT)
+    assert precision >= 0.93 and recall >= 0.55
+
+
 def test_documents(spark, model):
     df = spark.createDataFrame([(1, None, 3), (2, "", 3), (3, "Cala a boca, seu verme.", 3), (3, "Cala a boca, seu verme.", 3), (4, "Casa boa.", 3), (5, "a" * 100_000, 3)], "doc_id long, text string, score int")
     got = [(r.doc_id, r.abuse_score >= abuse.ACCEPT, r.score) for r in abuse.score_documents(df, model).collect()]

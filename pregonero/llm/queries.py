@@ -28,14 +28,25 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("address_id", "municipality_code").distinct()
 
 
+def _lots_in_centavos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convert_amounts(amount_values(spark, sf_dir)["appraisal_value"], keep=["id", "source_short_name", "source_lot_code", "description", "confidence_score", "scraped_at"])
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = survivors.spatial_unit_survivors(table(spark, sf_dir, "spatial_unit"))
-    cents = convert_amounts(amount_values(spark, sf_dir)["appraisal_value"], keep=["id", "source_short_name", "source_lot_code", "description", "confidence_score", "scraped_at"])
-    lots = survivors.auction_lot_survivors(cents)
+    lots = survivors.auction_lot_survivors(_lots_in_centavos(spark, sf_dir))
     one = lambda df, t: df.select(F.lit(t).alias("table_name"), "group_id", "field_name", "row_id")
     return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
 
 
+def p7_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value judged true: of a field of several values, all of them."""
+    units = survivors.true_values(table(spark, sf_dir, "spatial_unit"), *survivors.UNIT_COLUMNS, survivors.spatial_unit_fields())
+    lots = survivors.true_values(_lots_in_centavos(spark, sf_dir), *survivors.LOT_COLUMNS, survivors.auction_lot_fields())
+    one = lambda df, t: df.select(F.lit(t).alias("table_name"), "group_id", "field_name", "row_id", F.round("probability", 4).alias("probability"))
+    return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
+
+
 def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
 
@@ -79,7 +90,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.sum(hit).alias("abusive"), F.round(F.avg(hit), 6).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p7_values": p7_values, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE_SQL = {
     "p3_found": """
 WITH RECURSIVE e AS (

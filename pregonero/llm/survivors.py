@@ -1,31 +1,37 @@
 """Problem 7: the surviving value of each field of a duplicate group.
 
 A latent two-sided quality model: each value that some row of a group carries is true or false; a source asserts a
-true value with its sensitivity and a false one with one minus its specificity, and stays silent by carrying another
-value. Expectation-maximisation infers both rates per source and the probability of every value; several values of
-a field may be true (an old and a new appraisal). A source here is a class of confidence_score, as that is what the
-faults of the parsers go with. The classes whose values are true most often under the model are trusted.
-
-Of the usable values the survivor comes from a trusted row, complete rather than cut, then the latest; where
-no trusted row has one, the most probable value stands, and among equals the complete and the latest.
+true value with its sensitivity and a false one with one minus its specificity, and denies a value that it doesn't
+assert while it asserts another one. Several values of a field may be true (an old and a new appraisal), so one source
+may assert several. A source here is a named source at a band of confidence_score, as the faults of the parsers go
+with both. Expectation-maximisation infers both rates per source and the probability of every value; the rates of a
+source are drawn to those of its band by a prior, so a source of few rows counts as its band does. Every value of
+probability 0.5 and more is kept as true. A band is trusted if the values it asserts are true about as often as those
+of the best band, and a source of a trusted band unless the model finds it worse than that beyond doubt.
+
+Of the usable values the survivor comes from a trusted source, complete rather than cut, then the latest; where
+no trusted source has one, the most probable value stands, and among equals the complete and the latest.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pregonero.session import cut
+from pregonero.session import cut, small
 
-#: Bands of confidence_score by their lower ends; class 0 is the missing score.
+#: Bands of confidence_score by their lower ends; band 0 is the missing score.
 CLASS_FROM = (0.0, 0.4, 0.6)
 CLASS_MID = (0.3, 0.2, 0.5, 0.8)
 CLASSES = len(CLASS_FROM) + 1
-#: A class is trusted if its precision under the model is at most this much under the best class's.
+#: A band is trusted if its precision under the model is at most this much under the best band's.
 TRUST_MARGIN = 0.07
 PRIOR_ROWS = 50.0
+#: The rates are fitted when none of them moves by more.
+TOLERANCE = 0.005
 #: Texts that stand for no description, and the page furniture that some parsers take for one.
 VOID_TEXT = r"(?iu)^\W*(?:|n/?d|n/?a|null|none|erro \d+|vide edital|sem descrição|descrição não disponível|aguarde novas informações|clique para ver as fotos|<[^>]*>(?:\s*<[^>]*>)*)\W*$"
 FURNITURE = r"(?isu)(?:este site utiliza cookies|carregando informações d|política de privacidade|todos os direitos reservados|atualize o navegador|mapa do site).*$"
@@ -38,107 +44,134 @@ def confidence_class(score: Column) -> Column:
 
 
 def _prior(k: int) -> tuple[float, float]:
-    """Prior mean of sensitivity and false-positive rate of a class."""
+    """Prior mean of sensitivity and false-positive rate of a band."""
     return 0.6, max(0.01, 0.5 * (1 - CLASS_MID[k]))
 
 
 class QualityModel:
-    """Rates per class and the log-odds of a claim from its counts."""
-
-    def __init__(self):
-        self.sens = [_prior(k)[0] for k in range(CLASSES)]
-        self.fpr = [_prior(k)[1] for k in range(CLASSES)]
-        self.rate = 0.5
-        self.precision = [1 - _prior(k)[1] for k in range(CLASSES)]
-
-    def odds(self) -> Column:
-        total = F.lit(math.log(self.rate / (1 - self.rate)))
-        for k in range(CLASSES):
-            total = total + F.col(f"pos{k}") * math.log(self.sens[k] / self.fpr[k]) + F.col(f"neg{k}") * math.log((1 - self.sens[k]) / (1 - self.fpr[k]))
-        return total
-
-    def probability(self) -> Column:
-        return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), self.odds()))))
-
-
-def fit_quality(claims: DataFrame, rounds: int = 12) -> QualityModel:
-    """Expectation-maximisation over all claims with pos0.. and neg0.. counts. Claims with the same counts are
-    folded first; each round is one aggregation to a few dozen numbers."""
-    counts = [f"{s}{k}" for s in ("pos", "neg") for k in range(CLASSES)]
-    shapes = cut(claims.where(sum((F.col(c) for c in counts), F.lit(0)) > 1).groupBy(*counts).agg(F.count("*").alias("w")))
-    model = QualityModel()
-    for _ in range(rounds):
-        p = shapes.withColumn("p", model.probability())
-        sums = [F.sum(F.col("p") * F.col("w") * F.col(c)).alias(f"t_{c}") for c in counts] + [F.sum((1 - F.col("p")) * F.col("w") * F.col(c)).alias(f"f_{c}") for c in counts]
-        r = p.agg(*sums, F.sum(F.col("p") * F.col("w")).alias("true"), F.sum("w").alias("all")).first()
-        if not r["all"]:
-            break
-        old = model.sens + model.fpr
-        for k in range(CLASSES):
-            s0, f0 = _prior(k)
-            tp, tn, fp, fn = r[f"t_pos{k}"], r[f"t_neg{k}"], r[f"f_pos{k}"], r[f"f_neg{k}"]
-            model.sens[k] = min(0.99, (tp + PRIOR_ROWS * s0) / (tp + tn + PRIOR_ROWS))
-            model.fpr[k] = max(0.002, min(0.98, (fp + PRIOR_ROWS * f0) / (fp + fn + PRIOR_ROWS)))
-            model.precision[k] = (tp + PRIOR_ROWS * (1 - f0)) / (tp + fp + PRIOR_ROWS)
-        model.rate = min(0.95, max(0.05, r["true"] / r["all"]))
-        if max(abs(a - b) for a, b in zip(old, model.sens + model.fpr)) < 1e-3:
-            break
-    return model
-
-
-def judge(records: DataFrame, keys: list[str], id_col: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, QualityModel]:
+    """Rates per source, where source i is of the band i % CLASSES, and the log-odds of a value from who asserts and
+    who denies it."""
+
+    def __init__(self, sources: int):
+        band = np.arange(sources * CLASSES) % CLASSES
+        self.band = band
+        self.band_sens, self.band_fpr = (np.array(x) for x in zip(*(_prior(k) for k in range(CLASSES))))
+        self.band_precision = 1 - self.band_fpr
+        self.sens, self.fpr, self.rate = self.band_sens[band], self.band_fpr[band], 0.5
+        self.precision, self.asserted = self.band_precision[band], np.zeros(len(band))
+
+    def step(self, sums: np.ndarray) -> float:
+        """One M-step from sums (source x [true asserted, true denied, false asserted, false denied]); the largest change
+        of a rate."""
+        old = np.concatenate([self.sens, self.fpr])
+        tp, fn, fp, tn = (np.bincount(self.band, sums[:, j], CLASSES) for j in range(4))
+        s0, f0 = (np.array(x) for x in zip(*(_prior(k) for k in range(CLASSES))))
+        self.band_sens = np.clip((tp + PRIOR_ROWS * s0) / (tp + fn + PRIOR_ROWS), 0.01, 0.99)
+        self.band_fpr = np.clip((fp + PRIOR_ROWS * f0) / (fp + tn + PRIOR_ROWS), 0.002, 0.98)
+        self.band_precision = (tp + PRIOR_ROWS * (1 - f0)) / (tp + fp + PRIOR_ROWS)
+        tp, fn, fp, tn = sums.T
+        self.sens = np.clip((tp + PRIOR_ROWS * self.band_sens[self.band]) / (tp + fn + PRIOR_ROWS), 0.01, 0.99)
+        self.fpr = np.clip((fp + PRIOR_ROWS * self.band_fpr[self.band]) / (fp + tn + PRIOR_ROWS), 0.002, 0.98)
+        self.asserted = tp + fp
+        self.precision = (tp + PRIOR_ROWS * self.band_precision[self.band]) / (tp + fp + PRIOR_ROWS)
+        return float(np.abs(np.concatenate([self.sens, self.fpr]) - old).max())
+
+    def trusted(self) -> np.ndarray:
+        """Whether a source is trusted: its band is, and its own precision isn't significantly (three standard errors)
+        under what a band needs."""
+        least = self.band_precision.max() - TRUST_MARGIN
+        error = np.sqrt(np.maximum(self.precision * (1 - self.precision), 1e-4) / (self.asserted + PRIOR_ROWS))
+        return (self.band_precision[self.band] >= least) & (self.precision + 3 * error >= least)
+
+    def probability(self, said: str = "pos", denied: str = "neg") -> Column:
+        pick = lambda w: (lambda s, i: s + F.element_at(F.lit([float(x) for x in w]), i + 1))
+        odds = F.aggregate(said, F.lit(math.log(self.rate / (1 - self.rate))), pick(np.log(self.sens / self.fpr)))
+        odds = odds + F.aggregate(denied, F.lit(0.0), pick(np.log((1 - self.sens) / (1 - self.fpr))))
+        return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), odds))))
+
+
+def fit_quality(claims: DataFrame, sources: int, most_rounds: int = 500) -> QualityModel:
+    """Expectation-maximisation over all claims (pos, neg: arrays of sources) until no rate moves by TOLERANCE. Claims with
+    the same sources are folded first; each round is one aggregation to four numbers a source. Raises an error if the
+    rates still move after most_rounds."""
+    contested = claims.where(F.size("pos") + F.size("neg") > 1)
+    shapes = cut(contested.groupBy("pos", "neg").agg(F.count("*").alias("w")))
+    model = QualityModel(sources)
+    for _ in range(most_rounds):
+        who = lambda c, y: F.transform(c, lambda i: F.struct(i.alias("i"), F.lit(y).alias("y")))
+        p = shapes.select("w", model.probability().alias("p"), F.explode(F.concat(who("pos", True), who("neg", False), F.array(F.struct(F.lit(-1).alias("i"), F.lit(True).alias("y"))))).alias("x"))
+        share = F.col("p") * F.col("w")
+        total = p.groupBy("x.i", "x.y").agg(F.sum(share).alias("t"), F.sum(F.col("w") - share).alias("f"))
+        sums = np.zeros((sources * CLASSES, 4))
+        rows = total.collect()  # two rows a source, and -1 for all claims
+        if not rows:
+            return model
+        for r in rows:
+            if r.i < 0:
+                model.rate = min(0.95, max(0.05, r.t / (r.t + r.f)))
+            else:
+                sums[r.i, 0 if r.y else 1], sums[r.i, 2 if r.y else 3] = r.t, r.f
+        if model.step(sums) < TOLERANCE:
+            return model
+    raise RuntimeError(f"the rates of the sources still move after {most_rounds} rounds")
+
+
+def judge(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, QualityModel]:
     """Every distinct usable value of every duplicate group and field: (the keys as __k0.., f, group_id, row_id, whole,
-    at0.., __p), __p its probability by the quality model, and that model.
+    pos, neg, ats, __p), __p its probability by the quality model, and that model. pos are the sources that assert the
+    value, ats the latest time of each, neg those that assert another one.
 
     fields: name -> (usable value as a string or null, whether it is complete). Groups are two or more rows with
     equal, non-null keys; group_id is the smallest id, row_id the smallest id of the rows with exactly that value. A
-    group of any size is only aggregated, never gathered.
+    group of any size is only aggregated, never gathered: the arrays hold at most one entry a source. A missing source is
+    a source of its own.
     """
+    spark = records.sparkSession
     key = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
     ks = [f"__k{i}" for i in range(len(keys))]
     present = records.where(F.lit(True) if not keys else F.expr(" and ".join(f"`{k}` is not null" for k in keys)))
+    named = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    names = sorted(r[0] for r in present.select(named).distinct().collect())  # one entry a source
+    numbers = small(spark.createDataFrame(list(zip(names, range(len(names)))), "__name string, __i int"))
     told = present.select(
-        *key, F.col(id_col).alias("__id"), confidence_class(F.col(score)).alias("__c"), F.col(scraped_at).alias("__at"),
+        *key, F.col(id_col).alias("__id"), named.alias("__name"), confidence_class(F.col(score)).alias("__c"), F.coalesce(F.unix_micros(F.col(scraped_at).cast("timestamp")), F.lit(-(1 << 62))).alias("__at"),
         F.explode(F.array(*[F.struct(F.lit(n).alias("f"), v.alias("v"), c.alias("whole")) for n, (v, c) in fields.items()])).alias("__x"),
-    ).select(*ks, "__id", "__c", "__at", F.col("__x.f").alias("f"), F.col("__x.v").alias("v"), F.col("__x.whole").alias("whole"))
-    by_class = told.groupBy(*ks, "f", "v").agg(
-        F.min("__id").alias("row_id"), F.count("*").alias("n"), F.max("whole").alias("whole"),
-        *[F.count_if(F.col("__c") == k).alias(f"pos{k}") for k in range(CLASSES)],
-        *[F.max(F.when(F.col("__c") == k, F.coalesce(F.unix_micros(F.col("__at").cast("timestamp")), F.lit(-(1 << 62))))).alias(f"at{k}") for k in range(CLASSES)],
-    )
-    totals = by_class.groupBy(*ks, "f").agg(
-        F.min("row_id").alias("group_id"), F.sum("n").alias("size"),
-        *[F.sum(F.when(F.col("v").isNotNull(), F.col(f"pos{k}")).otherwise(0)).alias(f"all{k}") for k in range(CLASSES)],
+    ).join(numbers, "__name").select(*ks, "__id", (F.col("__i") * CLASSES + F.col("__c")).alias("i"), "__at", "__x.f", "__x.v", "__x.whole")
+    by_source = told.groupBy(*ks, "f", "v", "i").agg(F.min("__id").alias("row_id"), F.count("*").alias("n"), F.max("whole").alias("whole"), F.max("__at").alias("at"))
+    said = F.array_sort(F.collect_list(F.struct("i", "at")))
+    values = by_source.groupBy(*ks, "f", "v").agg(F.min("row_id").alias("row_id"), F.sum("n").alias("n"), F.max("whole").alias("whole"), said.alias("said"))
+    values = cut(values.select(*ks, "f", "row_id", "n", "whole", F.col("v").isNotNull().alias("usable"), F.transform("said", lambda x: x.i).alias("pos"), F.transform("said", lambda x: x.at).alias("ats")))
+    each = values.select(*ks, "f", "row_id", "n", "usable", F.posexplode("pos").alias("at", "i"))
+    totals = each.groupBy(*ks, "f").agg(
+        F.min("row_id").alias("group_id"), F.sum(F.when(F.col("at") == 0, F.col("n")).otherwise(0)).alias("size"), F.collect_set(F.when(F.col("usable"), F.col("i"))).alias("all"),
     ).where(F.col("size") > 1)
-    claims = by_class.where(F.col("v").isNotNull()).join(totals, [*ks, "f"])
-    claims = claims.withColumns({f"neg{k}": F.col(f"all{k}") - F.col(f"pos{k}") for k in range(CLASSES)}).drop("v", "n", *[f"all{k}" for k in range(CLASSES)])
+    claims = values.where("usable").join(totals, [*ks, "f"]).select(*ks, "f", "group_id", "row_id", "whole", "pos", "ats", F.array_sort(F.array_except("all", "pos")).alias("neg"))
     claims = cut(claims)
-    model = fit_quality(claims)
+    model = fit_quality(claims, len(names))
     return claims.withColumn("__p", model.probability()), model
 
 
-def true_values(records: DataFrame, keys: list[str], id_col: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]], least: float = 0.5) -> DataFrame:
+def true_values(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]], least: float = 0.5) -> DataFrame:
     """(group_id, field_name, row_id, probability) of every value judged true, for fields of several values: those of at
     least that probability. The arguments are those of judge."""
-    judged, model = judge(records, keys, id_col, score, scraped_at, fields)
+    judged, model = judge(records, keys, id_col, source, score, scraped_at, fields)
     out = judged.where(F.col("__p") >= least).select("group_id", F.col("f").alias("field_name"), "row_id", F.col("__p").alias("probability"))
     out.quality_model = model
     return out
 
 
-def survivors(records: DataFrame, keys: list[str], id_col: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> DataFrame:
+def survivors(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> DataFrame:
     """(group_id, field_name, row_id, probability, trusted): the one value per duplicate group and field, of those that
     judge gives (its arguments are the same).
 
     A field without a usable value gives no row. Ties go to the complete, the latest, the smallest id; missing
     scraped_at counts as the earliest.
     """
-    judged, model = judge(records, keys, id_col, score, scraped_at, fields)
+    judged, model = judge(records, keys, id_col, source, score, scraped_at, fields)
     ks = [f"__k{i}" for i in range(len(keys))]
-    good = [k for k in range(CLASSES) if model.precision[k] >= max(model.precision) - TRUST_MARGIN]
-    nothing = F.lit(None).cast("long")
-    latest = lambda of: F.greatest(*[F.col(f"at{k}") for k in of], nothing, nothing) if of else nothing
-    judged = judged.withColumns({"__trusted_at": latest(good), "__any_at": latest(range(CLASSES))})
+    good = F.lit([bool(x) for x in model.trusted()]) if len(model.band) else F.array().cast("array<boolean>")
+    trusted_at = F.array_max(F.transform(F.filter(F.arrays_zip("pos", "ats"), lambda x: F.element_at(good, x.pos + 1)), lambda x: x.ats))
+    judged = judged.withColumns({"__trusted_at": trusted_at, "__any_at": F.array_max("ats")})
     trusted = F.col("__trusted_at").isNotNull()
     rank = F.struct(
         trusted, F.when(trusted, 0.0).otherwise(F.round("__p", 1)), F.col("whole"), F.coalesce("__trusted_at", "__any_at"), -F.col("row_id"),
@@ -149,25 +182,35 @@ def survivors(records: DataFrame, keys: list[str], id_col: str, score: str, scra
     return out
 
 
-def spatial_unit_survivors(units: DataFrame) -> DataFrame:
+def spatial_unit_fields() -> dict[str, tuple[Column, Column]]:
     """Placeholders (areas of at most 0.01 or from 999,999; bedrooms under 0 or from 99) aren't usable."""
     area, rooms = F.col("useful_area"), F.col("bedrooms")
-    fields = {
+    return {
         "useful_area": (F.when((area > 0.01) & (area < 999_999), area.cast("decimal(12,2)").cast("string")), F.lit(True)),
         "bedrooms": (F.when((rooms >= 0) & (rooms < 99), rooms.cast("string")), F.lit(True)),
     }
-    return survivors(units, ["cri_office_id", "registry_number"], "id", "confidence_score", "scraped_at", fields)
 
 
-def auction_lot_survivors(lots: DataFrame, cents: str = "centavos") -> DataFrame:
-    """lots with the appraisal in centavos. A description without its page furniture is usable if it isn't void, and
+def auction_lot_fields(cents: str = "centavos") -> dict[str, tuple[Column, Column]]:
+    """For lots with the appraisal in centavos. A description without its page furniture is usable if it isn't void, and
     complete if it ends as a sentence and no furniture follows."""
     text = F.col("description")
     body = F.trim(F.regexp_replace(text, FURNITURE, ""))
     usable = text.isNotNull() & ~body.rlike(VOID_TEXT)
     whole = ~text.rlike(CUT_END) & ~text.rlike(FURNITURE)
-    fields = {
+    return {
         "appraisal_value": (F.when(F.col(cents) > 0, F.col(cents).cast("string")), F.lit(True)),
         "description": (F.when(usable, F.sha2(text, 256)), F.coalesce(whole, F.lit(False))),
     }
-    return survivors(lots, ["source_short_name", "source_lot_code"], "id", "confidence_score", "scraped_at", fields)
+
+
+UNIT_COLUMNS = (["cri_office_id", "registry_number"], "id", "source_short_name", "confidence_score", "scraped_at")
+LOT_COLUMNS = (["source_short_name", "source_lot_code"], "id", "source_short_name", "confidence_score", "scraped_at")
+
+
+def spatial_unit_survivors(units: DataFrame) -> DataFrame:
+    return survivors(units, *UNIT_COLUMNS, spatial_unit_fields())
+
+
+def auction_lot_survivors(lots: DataFrame, cents: str = "centavos") -> DataFrame:
+    return survivors(lots, *LOT_COLUMNS, auction_lot_fields(cents))

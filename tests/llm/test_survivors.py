@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pregonero.llm.survivors import auction_lot_survivors, spatial_unit_survivors, true_values
 
-SCHEMA = "id long, cri_office_id int, registry_number string, useful_area decimal(12,2), bedrooms int, scraped_at timestamp, confidence_score decimal(3,2)"
+SCHEMA = "id long, cri_office_id int, registry_number string, useful_area decimal(12,2), bedrooms int, scraped_at timestamp, confidence_score decimal(3,2), source_short_name string"
 
 
 def day(n):
@@ -16,7 +16,7 @@ def rows(spark, data):
     from decimal import Decimal
 
     dec = lambda x: None if x is None else Decimal(str(x))
-    return spark.createDataFrame([(i, o, r, dec(a), b, t, dec(c)) for i, o, r, a, b, t, c in data], SCHEMA)
+    return spark.createDataFrame([(i, o, r, dec(a), b, t, dec(c), s) for i, o, r, a, b, t, c, s in ((*x, "s")[:8] for x in data)], SCHEMA)
 
 
 def found(df):
@@ -47,10 +47,51 @@ def test_trusted_latest_and_carriers(spark):
 def test_all_values_judged_true(spark):
     data = [(1, 1, "two", 0, 2, day(0), 0.9), (2, 1, "two", 0, 2, day(1), 0.8), (3, 1, "two", 0, 3, day(2), 0.9), (4, 1, "two", 0, 3, day(3), 0.8), (5, 1, "two", 0, 44, day(4), 0.1)]
     df = rows(spark, data + bulk(100))
-    got = true_values(df, ["cri_office_id", "registry_number"], "id", "confidence_score", "scraped_at", {"bedrooms": (F.col("bedrooms").cast("string"), F.lit(True))})
+    got = true_values(df, ["cri_office_id", "registry_number"], "id", "source_short_name", "confidence_score", "scraped_at", {"bedrooms": (F.col("bedrooms").cast("string"), F.lit(True))})
     assert sorted(r.row_id for r in got.collect() if r.group_id == 1) == [1, 3]
 
 
+def test_a_source_that_is_wrong_in_spite_of_its_confidence(spark):
+    """The plain rule (confident, then latest) takes the value of source `bad` in every group; the model finds it out."""
+    data = []
+    for g in range(150):
+        for k, source in enumerate(("a", "b", "c")):
+            data.append((1000 + 4 * g + k, 7, f"g{g}", 60 + g, 2, day(k), 0.9, source))
+        data.append((1003 + 4 * g, 7, f"g{g}", 300 + 3 * g, 5, day(9), 0.9, "bad"))
+    data += [(1, 8, "alone", 70, 1, day(0), 0.9, "bad"), (2, 8, "alone", 70, 1, day(1), 0.9, "bad"), (3, 8, None, 1, 1, day(1), 0.9, None)]
+    got = found(spatial_unit_survivors(rows(spark, data)))
+    assert all(got[(1000 + 4 * g, "useful_area")] == 1000 + 4 * g and got[(1000 + 4 * g, "bedrooms")] == 1000 + 4 * g for g in range(150))
+    assert got[(1, "useful_area")] == 1
+
+
+def test_rates_are_those_of_plain_expectation_maximisation(spark):
+    """The rates against the same steps over lists."""
+    import math
+
+    from pregonero.llm import survivors as S
+
+    data = [([3], [7], 5), ([3, 7], [1], 9), ([1], [3, 7], 9), ([7], [], 4), ([1, 5], [], 3)]
+    claims = spark.createDataFrame([(a, b) for a, b, n in data for _ in range(n)], "pos array<int>, neg array<int>")
+    got, want = S.fit_quality(claims, 2), S.QualityModel(2)
+    for _ in range(500):
+        import numpy as np
+
+        sums, t, n_all = np.zeros((8, 4)), 0.0, 0
+        for a, b, n in data:
+            if len(a) + len(b) > 1:
+                odds = math.log(want.rate / (1 - want.rate)) + sum(math.log(want.sens[i] / want.fpr[i]) for i in a) + sum(math.log((1 - want.sens[i]) / (1 - want.fpr[i])) for i in b)
+                p = 1 / (1 + math.exp(-odds))
+                for i in a:
+                    sums[i] += [p * n, 0, (1 - p) * n, 0]
+                for i in b:
+                    sums[i] += [0, p * n, 0, (1 - p) * n]
+                t, n_all = t + p * n, n_all + n
+        want.rate = min(0.95, max(0.05, t / n_all))
+        if want.step(sums) < S.TOLERANCE:
+            break
+    assert abs(got.sens - want.sens).max() < 1e-9 and abs(got.fpr - want.fpr).max() < 1e-9
+
+
 def test_hot_group_and_repeats(spark):
     many = [(1000 + i, 5, "hot", 100, 2, day(0), 0.9) for i in range(3000)]
     assert found(spatial_unit_survivors(rows(spark, many + many[:10] + bulk(10))))[(1000, "useful_area")] == 1000

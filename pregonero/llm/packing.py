@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pregonero.llm.ranking import ranked
-from pregonero.session import cut
+from pregonero.session import cut, small
 
-RUN = 5_000  # containers per row of the plan before it is expanded
+RUN = 5_000  # containers per row of the plan before its slots are written out
 
 
 class _Stock:
@@ -130,6 +130,29 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[list[int], int]
     return [g for gap in sorted(groups) for g in groups[gap]]
 
 
+def layout(planned: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int, int]]:
+    """(length, first, k, container, slot): texts first to first + k - 1 of a length, in the order of their ranks, fill the
+    slot of containers container to container + k - 1. One row per pattern and slot, so as many as the plan has patterns
+    and slots, which the capacity bounds, however many texts there are."""
+    rows, used, base = [], Counter(), 0
+    for parts, k in planned:
+        for slot, length in enumerate(parts):
+            rows.append((length, used[length], k, base, slot))
+            used[length] += k
+        base += k
+    return rows
+
+
+def expand(rows: DataFrame) -> DataFrame:
+    """(length, at, container_id, slot) of every single slot of a layout, in two steps: runs, which are spread over the
+    tasks, then their slots. A run has RUN slots or, for more than RUN^2, the root of their number, so no array is long."""
+    runs = rows.withColumn("n", F.greatest(F.lit(RUN), F.ceil(F.sqrt(F.col("k").cast("double")))).cast("long"))
+    runs = runs.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("k") - 1) / F.col("n")).cast("long"))).alias("run"))
+    runs = runs.select("length", "first", "container", "slot", (F.col("run") * F.col("n")).alias("from"), F.least(F.col("k"), (F.col("run") + 1) * F.col("n")).alias("to"))
+    each = runs.repartition("length", "from", "slot", "container").select("*", F.explode(F.sequence(F.col("from"), F.col("to") - 1)).alias("i"))
+    return each.select("length", (F.col("first") + F.col("i")).alias("at"), (F.col("container") + F.col("i")).alias("container_id"), "slot")
+
+
 def pack(documents: DataFrame, capacities: list[tuple[int, int]], id_col: str = "doc_id", size: str = "tokens") -> DataFrame:
     """(capacity_id, container_id, slot, doc_id, piece_no, token_from, tokens) for every text of at least one token.
 
@@ -140,18 +163,9 @@ def pack(documents: DataFrame, capacities: list[tuple[int, int]], id_col: str =
     docs = cut(documents.where(F.col(size) > 0).select(F.col(id_col).alias("doc_id"), F.col(size).alias("size")).withColumn("h", F.xxhash64("doc_id", F.lit(8))))
     out = None
     for cid, cap in sorted(capacities):
-        full = F.floor(F.col("size") / cap).cast("int")
         pieces = docs.select("doc_id", "h", "size", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / cap).cast("int")), lambda i: F.least(F.lit(cap), F.col("size") - i * cap))).alias("piece_no", "tokens"))
         counts = {int(r.tokens): r["n"] for r in pieces.groupBy("tokens").agg(F.count("*").alias("n")).collect()}
-        runs, used, base = [], Counter(), 0
-        for parts, k in plan(counts, cap):
-            for slot, length in enumerate(parts):
-                runs += [(length, used[length] + at, min(RUN, k - at), base + at, slot) for at in range(0, k, RUN)]
-                used[length] += k
-            base += k
-        slots = spark.createDataFrame(runs or [(0, 0, 0, 0, 0)], "length int, first long, k long, container long, slot int").where("k > 0")
-        slots = slots.repartition(spark.sparkContext.defaultParallelism).select(F.col("length"), "first", "container", "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("i"))
-        slots = slots.select("length", (F.col("first") + F.col("i")).alias("at"), (F.col("container") + F.col("i")).alias("container_id"), "slot")
+        slots = expand(spark.createDataFrame(layout(plan(counts, cap)), "length int, first long, k long, container long, slot int"))
         items = ranked(pieces.withColumn("hh", F.xxhash64("h", "piece_no")), ["tokens"], "hh", out="at", ties=("doc_id", "piece_no"))
         got = items.join(slots, (F.col("tokens") == F.col("length")) & (items["at"] == slots["at"])).select(
             F.lit(cid).alias("capacity_id"), "container_id", "slot", "doc_id", "piece_no", (F.col("piece_no").cast("long") * cap).alias("token_from"), F.col("tokens").cast("long").alias("tokens"),
@@ -163,7 +177,7 @@ def pack(documents: DataFrame, capacities: list[tuple[int, int]], id_col: str =
 def fill_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     """(capacity_id, capacity_tokens, containers, tokens, fill, full_containers, split_texts)."""
     bins = packed.groupBy("capacity_id", "container_id").agg(F.sum("tokens").alias("t"), F.max((F.col("piece_no") > 0).cast("int")).alias("cut"))
-    by = bins.join(F.broadcast(capacities), "capacity_id").groupBy("capacity_id", "capacity_tokens").agg(
+    by = bins.join(small(capacities), "capacity_id").groupBy("capacity_id", "capacity_tokens").agg(
         F.count("*").alias("containers"), F.sum("t").alias("tokens"), F.count_if(F.col("t") == F.col("capacity_tokens")).alias("full_containers"), F.count_if(F.col("t") > F.col("capacity_tokens")).alias("over_full"),
     )
     return by.withColumn("fill", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6))

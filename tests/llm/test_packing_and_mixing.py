@@ -35,6 +35,25 @@ def test_exact_complements_behind_many_that_fail():
     assert sorted(stock.three(600, 424) or []) == [40, 45, 339, 600]
 
 
+def test_layout_of_a_hundred_billion_texts(spark):
+    counts = {n: 10**9 + n * 7919 for n in range(1, 512, 5)} | {512: 3 * 10**9}
+    rows = packing.layout(packing.plan(counts, 512))
+    assert len(rows) < 20_000  # bounded by the capacity, not by the texts
+    placed = Counter()
+    for length, first, k, _, _ in rows:
+        assert first == placed[length]
+        placed[length] += k
+    assert placed == Counter(counts)
+
+
+def test_expanded_layout(spark):
+    rows = [(3, 0, 12_345, 0, 0), (5, 2, 1, 12_345, 0), (3, 12_345, 12_345, 0, 1)]
+    got = packing.expand(spark.createDataFrame(rows, "length int, first long, k long, container long, slot int")).collect()
+    want = [(n, f + i, c + i, s) for n, f, k, c, s in rows for i in range(k)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert packing.expand(spark.createDataFrame([], "length int, first long, k long, container long, slot int")).count() == 0
+
+
 def test_pack(spark):
     rng = random.Random(2)
     data = [(i, rng.choice([0, 1, 7, 100, 100, 100, 250, 511, 512, 513, 3000])) for i in range(600)] + [(1, 7)]
@@ -70,6 +89,23 @@ def test_tree_sums():
     assert out.shape == (32, 4) and list(out.sum(0)) == [1000, 3, 0, 77] and out.sum(1).max() - out.sum(1).min() <= 2
 
 
+def test_ten_billion_blocks():
+    tokens = 10**10 * 4096
+    size = mixing.block_size(tokens, 4096)
+    blocks = [-(-int(tokens * share) // size) for share in (0.6, 0.3, 0.1)]
+    assert size > 4096 and sum(blocks) <= mixing.MOST_BLOCKS + 3 and mixing.block_size(10**6, 4096) == 4096
+    out = mixing.split_tree(blocks, 32, 1)
+    assert list(out.sum(0)) == blocks and (out >= 0).all()
+
+
+def test_permutation_of_blocks(spark):
+    for n in (1, 2, 3, 5, 17, 100, 901, 5000):
+        got = [r[0] for r in spark.range(n).select("id", F.lit("s").alias("source"), F.lit(n).cast("long").alias("n")).select(mixing.permuted(F.col("id"), F.col("n"), 3)).collect()]
+        assert sorted(got) == list(range(n)) and (n < 100 or sum(a == i for i, a in enumerate(got)) < 10)
+    top = spark.range(1).select(F.lit("s").alias("source")).select(mixing.permuted(F.lit(399_999_998), F.lit(399_999_999).cast("long"), 3)).first()[0]
+    assert 0 <= top < 399_999_999
+
+
 def test_mix(spark):
     data = [(i, s, 50 + i % 40) for i, s in enumerate(["a"] * 3000 + ["b"] * 400 + ["c"] * 300)] + [(9000, None, 10), (9001, "a", 0), (9002, "z", 5)]
     df = spark.createDataFrame(data, "doc_id long, source string, tokens int")

@@ -34,7 +34,7 @@ def _lots_in_centavos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = survivors.spatial_unit_survivors(table(spark, sf_dir, "spatial_unit"))
-    lots = survivors.auction_lot_survivors(_lots_in_centavos(spark, sf_dir))
+    lots = survivors.auction_lot_survivors(_lots_in_centavos(spark, sf_dir), sources=table(spark, sf_dir, "auction_lot"))
     one = lambda df, t: df.select(F.lit(t).alias("table_name"), "group_id", "field_name", "row_id")
     return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
 
@@ -42,7 +42,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value judged true: of a field of several values, all of them."""
     units = survivors.true_values(table(spark, sf_dir, "spatial_unit"), *survivors.UNIT_COLUMNS, survivors.spatial_unit_fields())
-    lots = survivors.true_values(_lots_in_centavos(spark, sf_dir), *survivors.LOT_COLUMNS, survivors.auction_lot_fields())
+    lots = survivors.true_values(_lots_in_centavos(spark, sf_dir), *survivors.LOT_COLUMNS, survivors.auction_lot_fields(), table(spark, sf_dir, "auction_lot"))
     one = lambda df, t: df.select(F.lit(t).alias("table_name"), "group_id", "field_name", "row_id", F.round("probability", 4).alias("probability"))
     return one(units, "spatial_unit").unionByName(one(lots, "auction_lot"))
 

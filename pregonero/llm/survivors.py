@@ -116,7 +116,7 @@ def fit_quality(claims: DataFrame, sources: int, most_rounds: int = 500) -> Qual
     raise RuntimeError(f"the rates of the sources still move after {most_rounds} rounds")
 
 
-def judge(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, QualityModel]:
+def judge(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]], sources: DataFrame | None = None) -> tuple[DataFrame, QualityModel]:
     """Every distinct usable value of every duplicate group and field: (the keys as __k0.., f, group_id, row_id, whole,
     pos, neg, ats, __p), __p its probability by the quality model, and that model. pos are the sources that assert the
     value, ats the latest time of each, neg those that assert another one.
@@ -124,14 +124,14 @@ def judge(records: DataFrame, keys: list[str], id_col: str, source: str, score:
     fields: name -> (usable value as a string or null, whether it is complete). Groups are two or more rows with
     equal, non-null keys; group_id is the smallest id, row_id the smallest id of the rows with exactly that value. A
     group of any size is only aggregated, never gathered: the arrays hold at most one entry a source. A missing source is
-    a source of its own.
+    a source of its own. sources: rows that hold all sources of the records, where they are cheaper to read.
     """
     spark = records.sparkSession
     key = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
     ks = [f"__k{i}" for i in range(len(keys))]
     present = records.where(F.lit(True) if not keys else F.expr(" and ".join(f"`{k}` is not null" for k in keys)))
     named = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    names = sorted(r[0] for r in present.select(named).distinct().collect())  # one entry a source
+    names = sorted({""} | {r[0] for r in (records if sources is None else sources).select(named).distinct().collect()})  # one entry a source
     numbers = small(spark.createDataFrame(list(zip(names, range(len(names)))), "__name string, __i int"))
     told = present.select(
         *key, F.col(id_col).alias("__id"), named.alias("__name"), confidence_class(F.col(score)).alias("__c"), F.coalesce(F.unix_micros(F.col(scraped_at).cast("timestamp")), F.lit(-(1 << 62))).alias("__at"),
@@ -151,23 +151,23 @@ def judge(records: DataFrame, keys: list[str], id_col: str, source: str, score:
     return claims.withColumn("__p", model.probability()), model
 
 
-def true_values(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]], least: float = 0.5) -> DataFrame:
+def true_values(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]], sources: DataFrame | None = None, least: float = 0.5) -> DataFrame:
     """(group_id, field_name, row_id, probability) of every value judged true, for fields of several values: those of at
     least that probability. The arguments are those of judge."""
-    judged, model = judge(records, keys, id_col, source, score, scraped_at, fields)
+    judged, model = judge(records, keys, id_col, source, score, scraped_at, fields, sources)
     out = judged.where(F.col("__p") >= least).select("group_id", F.col("f").alias("field_name"), "row_id", F.col("__p").alias("probability"))
     out.quality_model = model
     return out
 
 
-def survivors(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]]) -> DataFrame:
+def survivors(records: DataFrame, keys: list[str], id_col: str, source: str, score: str, scraped_at: str, fields: dict[str, tuple[Column, Column]], sources: DataFrame | None = None) -> DataFrame:
     """(group_id, field_name, row_id, probability, trusted): the one value per duplicate group and field, of those that
     judge gives (its arguments are the same).
 
     A field without a usable value gives no row. Ties go to the complete, the latest, the smallest id; missing
     scraped_at counts as the earliest.
     """
-    judged, model = judge(records, keys, id_col, source, score, scraped_at, fields)
+    judged, model = judge(records, keys, id_col, source, score, scraped_at, fields, sources)
     ks = [f"__k{i}" for i in range(len(keys))]
     good = F.lit([bool(x) for x in model.trusted()]) if len(model.band) else F.array().cast("array<boolean>")
     trusted_at = F.array_max(F.transform(F.filter(F.arrays_zip("pos", "ats"), lambda x: F.element_at(good, x.pos + 1)), lambda x: x.ats))
@@ -212,5 +212,5 @@ def spatial_unit_survivors(units: DataFrame) -> DataFrame:
     return survivors(units, *UNIT_COLUMNS, spatial_unit_fields())
 
 
-def auction_lot_survivors(lots: DataFrame, cents: str = "centavos") -> DataFrame:
-    return survivors(lots, *LOT_COLUMNS, auction_lot_fields(cents))
+def auction_lot_survivors(lots: DataFrame, cents: str = "centavos", sources: DataFrame | None = None) -> DataFrame:
+    return survivors(lots, *LOT_COLUMNS, auction_lot_fields(cents), sources)

@@ -40,19 +40,24 @@ def block_size(tokens: float, block_tokens: int, most: int = MOST_BLOCKS) -> int
     return max(block_tokens, math.ceil(tokens / most))
 
 
-def permuted(number: Column, count: Column, seed: int, rounds: int = 4) -> Column:
-    """A keyed permutation of the numbers 0 to count - 1, each source with its own key in `source`: a Feistel network on
-    a square of the next larger side, walked on while it leaves the range. A walk visits numbers beyond the range only
-    once, and there are at most 2 sqrt(count) + 1 of them; past 1,000 a walk of 64 steps has a chance under 10^-70."""
-    side = F.ceil(F.sqrt(count.cast("double"))).cast("long")
+def with_permuted(rows: DataFrame, number: Column, count: Column, out: str, seed: int) -> DataFrame:
+    """Add a keyed permutation of the numbers 0 to count - 1, each source with its own key in `source`: a Feistel network on
+    a rectangle of about equal sides, the smallest that holds them, walked on while it leaves the range. A walk visits the
+    numbers beyond the range only once, and they are fewer than sqrt(count); past 4,000 numbers a walk of 64 steps
+    has a chance under 10^-100."""
 
     def shuffle(x: Column) -> Column:
-        halves = F.struct(F.floor(x / side).cast("long").alias("l"), F.pmod(x, side).alias("r"))
-        step = lambda s, i: F.struct(s.r.alias("l"), F.pmod(s.l + F.pmod(F.xxhash64(s.r, i, F.lit(seed), "source"), side), side).alias("r"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), halves, step, lambda s: s.l * side + s.r)
+        high, low = F.floor(F.sqrt(count.cast("double"))).cast("long"), F.ceil(count / F.floor(F.sqrt(count.cast("double")))).cast("long")
+        h = lambda v, i, side: F.pmod(F.xxhash64(v, F.lit(seed + i), "source"), side)
+        a, b = F.floor(x / low).cast("long"), F.pmod(x, low)
+        for i in range(0, 4, 2):
+            b = F.pmod(b + h(a, i, low), low)
+            a = F.pmod(a + h(b, i + 1, high), high)
+        return a * low + b
 
-    once = shuffle(number.cast("long"))
-    return F.when(once < count, once).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(64)), once, lambda x, _: F.when(x < count, x).otherwise(shuffle(x))))
+    once = rows.withColumn("__once", shuffle(number.cast("long")))
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.col("__once"), lambda x, _: F.when(x < count, x).otherwise(shuffle(x)))
+    return once.withColumn(out, F.when(F.col("__once") < count, F.col("__once")).otherwise(walk)).drop("__once")
 
 
 def mix(documents: DataFrame, targets: DataFrame, shards: int = SHARDS, block_tokens: int = BLOCK_TOKENS, seed: int = SEED, id_col: str = "doc_id", size: str = "tokens") -> DataFrame:
@@ -84,7 +89,7 @@ def mix(documents: DataFrame, targets: DataFrame, shards: int = SHARDS, block_to
     uses = F.col("passes") + last
     used = placed.where(uses > 0).select("doc_id", "source", "tokens", "before", "per_pass", "blocks", "ends", F.explode(F.sequence(F.lit(0).cast("long"), uses - 1)).alias("use_no"))
     block = F.least(F.col("use_no") * F.col("per_pass") + F.floor(F.col("before") / block_tokens), F.col("blocks") - 1)
-    used = used.withColumn("at", permuted(block, F.col("blocks"), seed + 2))
+    used = with_permuted(used, block, F.col("blocks"), "at", seed + 2)
     shard = F.size(F.filter("ends", lambda e: e <= F.col("at"))).cast("int")
     dealt = used.select("doc_id", "source", "use_no", "tokens", shard.alias("shard"), F.xxhash64("doc_id", "use_no", F.lit(seed + 1)).alias("o"))
     return ranked(dealt, ["shard"], "o", out="position", ties=("doc_id", "use_no")).select("shard", F.col("position").cast("long").alias("position"), "doc_id", "source", "use_no", "tokens")

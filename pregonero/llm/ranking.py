@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parts of a key, each sorted in one task: a key of 10^11 rows has some six million rows a part.
-SHARDS = 1 << 14
+#: Parts of a key, each sorted in one task: a key of 10^11 rows has some 25 million rows a part.
+SHARDS = 4096
 
 
 def _before(counts: DataFrame, keys: list[str], value: str) -> DataFrame:

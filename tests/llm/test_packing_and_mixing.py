@@ -100,10 +100,11 @@ def test_ten_billion_blocks():
 
 def test_permutation_of_blocks(spark):
     for n in (1, 2, 3, 5, 17, 100, 901, 5000):
-        got = [r[0] for r in spark.range(n).select("id", F.lit("s").alias("source"), F.lit(n).cast("long").alias("n")).select(mixing.permuted(F.col("id"), F.col("n"), 3)).collect()]
+        rows = spark.range(n).select("id", F.lit("s").alias("source"), F.lit(n).cast("long").alias("n"))
+        got = [r.at for r in mixing.with_permuted(rows, F.col("id"), F.col("n"), "at", 3).orderBy("id").collect()]
         assert sorted(got) == list(range(n)) and (n < 100 or sum(a == i for i, a in enumerate(got)) < 10)
-    top = spark.range(1).select(F.lit("s").alias("source")).select(mixing.permuted(F.lit(399_999_998), F.lit(399_999_999).cast("long"), 3)).first()[0]
-    assert 0 <= top < 399_999_999
+    top = spark.range(1).select(F.lit("s").alias("source"), F.lit(399_999_999).cast("long").alias("n"))
+    assert 0 <= mixing.with_permuted(top, F.lit(399_999_998), F.col("n"), "at", 3).first().at < 399_999_999
 
 
 def test_mix(spark):

@@ -9,21 +9,23 @@ adaptive execution splits where one vertex holds a large share of the rows. So n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pregonero.session import cut
 
-_PAIRS = "array<struct<v:bigint,u:bigint>>"
+def _both(a: str, b: str) -> Column:
+    """Rows (a, b) and (b, a)."""
+    pair = lambda x, y: F.struct(F.col(x).alias("v"), F.col(y).alias("u"))
+    return F.inline(F.array(pair(a, b), pair(b, a)))
 
 
 def _round(pairs: DataFrame) -> DataFrame:
-    """One exchange: (v, u) rows -> the rows after every vertex sent its set and its minimum."""
+    """One exchange: (v, u) rows -> the rows after every vertex sent its set and its minimum. A row (v, u) sends (m, u)
+    and (u, m); that v is in its own set sends (m, v) and (v, m), once per vertex."""
     least = pairs.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"))
-    both = lambda a, b: F.array(F.struct(F.col(a).alias("v"), F.col(b).alias("u")), F.struct(F.col(b).alias("v"), F.col(a).alias("u")))
-    # a row (v, u) sends (m, u) and (u, m); (v, m) and (m, v) come from v being a member of its own set, once per row of v
-    sent = pairs.join(least, "v").select(F.explode(F.array_union(F.when(F.col("u") != F.col("m"), both("m", "u")).otherwise(F.array().cast(_PAIRS)), F.when(F.col("v") != F.col("m"), both("m", "v")).otherwise(F.array().cast(_PAIRS)))).alias("x"))
-    return sent.select("x.v", "x.u").distinct()
+    sent = pairs.join(least, "v").where(F.col("u") != F.col("m")).select(_both("m", "u"))
+    return sent.unionByName(least.where(F.col("v") != F.col("m")).select(_both("m", "v"))).distinct()
 
 
 def _state(pairs: DataFrame) -> tuple[int, int, int]:
@@ -41,7 +43,7 @@ def hash_to_min(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> Data
     max_rounds rounds don't suffice (their number grows as the logarithm of the longest path).
     """
     ends = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where(F.col("a") != F.col("b"))
-    pairs = ends.select(F.inline(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u"))))).distinct()
+    pairs = ends.select(_both("a", "b")).distinct()
     pairs = cut(pairs)
     state = _state(pairs)
     for _ in range(max_rounds):

@@ -61,8 +61,8 @@ def repair_tokens(found: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .select("q", "token", (1 - F.col("d") / (longest * 1.5)).alias("sim"))
     )
     alike = found.select("q", sound(F.col("q")).alias("s")).join(vocabulary.select("token", sound(F.col("token")).alias("s")), "s").select("q", "token", F.lit(0.92).alias("sim"))
-    # every beginning-and-part of up to three letters of the frequent tokens
-    letters = F.sequence(F.lit(2), F.least(F.length("token"), F.lit(12)))
+    # every beginning-and-part of up to three letters of the frequent tokens; they are of the reference list, not of the rows
+    letters = F.sequence(F.lit(2), F.length("token"))
     frequent = vocabulary.where((F.col("df") >= 2) & (F.length("token") > 2))
     at = lambda i: F.substring(F.col("token"), i, F.lit(1))
     head = F.substring("token", 1, 1)
@@ -106,8 +106,8 @@ def match_to_list(values: DataFrame, reference: DataFrame, code: str, names: lis
     scored = hits.join(entries, "entry").join(qnorm, (F.col("text") == F.col("__t")) & F.col("want").eqNullSafe(F.col("__w")))
     cosine = F.least(F.lit(1.0), F.col("dot") / (F.col("norm") * F.greatest("qnorm", F.lit(1e-9))))
     score = F.round(cosine * F.when(F.col("want") != F.col("of"), 0.85).otherwise(1.0), 6)
-    best = F.max(F.struct(score.alias("score"), F.coalesce("size", F.lit(0.0)).alias("size"), F.reverse("code").alias("r"), F.col("code").alias("code"))).alias("b")
-    return scored.groupBy("text", "want").agg(best).select("text", "want", "b.code", "b.score")
+    best = F.min(F.struct((-score).alias("score"), (-F.coalesce("size", F.lit(0.0))).alias("size"), F.col("code").alias("code"))).alias("b")
+    return scored.groupBy("text", "want").agg(best).select("text", "want", "b.code", (-F.col("b.score")).alias("score"))
 
 
 STATE_END = r"(?i)\s*(?:[-/,]|\(|\s)\s*\(?([a-z]\.?[a-z])\.?\)?\s*$"

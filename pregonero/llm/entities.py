@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pregonero.functions.text import edit_distance, fold, normalise_uf, words
+from pregonero.functions.text import deletes, edit_distance, fold, normalise_uf, words
 from pregonero.functions.timestamps import barrier
 from pregonero.llm.addresses import mine_rewrites, rewrite
 from pregonero.llm.canonical_list import sound
@@ -32,6 +32,8 @@ FORMS = ["ltda", "limitada", "eireli", "me", "sa", "epp", "ss"]
 ACTIVITIES = {"leiloes": "leil", "leil": "leil", "leilao": "leil", "pregoes": "preg", "preg": "preg", "alienacoes": "alien", "alien": "alien",
               "hastas": "hasta", "hasta": "hasta", "publicas": "", "pub": "", "judiciais": "jud", "jud": "jud", "assessoria": "asses", "asses": "asses"}
 ACCEPT = 0.8
+#: Registrations of one board at most this far apart may be one that was typed wrong.
+CLOSE = 300
 
 
 def _near(token: Column, known: list[str], slack: Column | None = None) -> Column:
@@ -107,28 +109,42 @@ def with_similarity(pairs: DataFrame) -> DataFrame:
 
 
 def _block_keys(profiles: DataFrame) -> DataFrame:
-    """(pid, key): registration in its state, or with a name where the state is missing; personal e-mail; a name with the initial of another one of its spelling, in the state."""
+    """(pid, key, free): registration in its state, or with a name where the state is missing; personal e-mail; a name with
+    the initial of another one of its spelling, in the state, for the profiles that such a key may join: those without a
+    registration (free) with all, those with one only with those of a close one. Two profiles with registrations
+    far apart have no key of names alone in common, as no rule joins them."""
     state = F.coalesce("state", F.lit("?"))
     full = F.filter("names", lambda t: F.length(t) > 1)
+    none = F.array().cast("array<string>")
     cross = F.flatten(F.transform(full, lambda t: F.transform(F.filter("names", lambda o: o != t), lambda o: F.concat_ws("|", F.lit("n"), state, sound(t), F.substring(o, 1, 1)))))
+    alone = F.when(F.size("names") == 1, F.array(F.concat_ws("|", F.lit("n"), state, sound(F.col("names")[0]), F.lit("")))).otherwise(none)
+    # registrations a slip apart share one of their deletions, those at most CLOSE apart one of two neighbouring ranges
+    near = lambda r: F.concat(deletes(r, 1), F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.concat(F.lit("#"), (F.floor(r.try_cast("long") / CLOSE) + i).cast("string"))))
+    close = F.flatten(F.transform("regs", lambda r: F.flatten(F.transform(F.array_compact(near(r)), lambda k: F.transform(full, lambda t: F.concat_ws("|", F.lit("s"), state, k, sound(t)))))))
     of_profile = F.concat(F.transform("regs", lambda r: F.concat_ws("|", F.lit("r"), state, r)), F.transform("emails", lambda e: F.concat_ws("|", F.lit("e"), e)))
     of_spelling = F.concat(
         F.flatten(F.transform("regs", lambda r: F.transform(full, lambda t: F.concat_ws("|", F.lit("x"), r, sound(t))))),
-        F.array_distinct(cross), F.when(F.size("names") == 1, F.array(F.concat_ws("|", F.lit("n"), state, sound(F.col("names")[0]), F.lit("")))).otherwise(F.array().cast("array<string>")),
+        F.when(F.col("state").isNotNull(), F.concat(F.array_distinct(cross), alone, close)).otherwise(none),
     )
+    free = (F.size("regs") == 0).alias("free")
     spelt = profiles.select("pid", "state", "regs", F.explode("spellings").alias("names"))
-    return profiles.select("pid", F.explode(of_profile).alias("key")).unionByName(spelt.select("pid", F.explode(of_spelling).alias("key"))).distinct()
+    return profiles.select("pid", F.explode(of_profile).alias("key"), free).unionByName(spelt.select("pid", F.explode(of_spelling).alias("key"), free)).distinct()
+
+
+def _candidates(profiles: DataFrame) -> DataFrame:
+    """Distinct (a_pid, b_pid), smaller first, that share a key which may join them."""
+    keys = cut(_block_keys(profiles))
+    pair = lambda x, y: x.select("key", F.col("pid").alias("p")).join(y.select("key", F.col("pid").alias("q")), "key").select(F.least("p", "q").alias("a_pid"), F.greatest("p", "q").alias("b_pid"))
+    of_names = F.col("key").startswith("n|")
+    free, held, others = keys.where(of_names & F.col("free")), keys.where(of_names & ~F.col("free")), keys.where(~of_names)
+    return pair(free, free).unionByName(pair(free, held)).unionByName(pair(others, others)).where(F.col("a_pid") < F.col("b_pid")).distinct()
 
 
 def _matches(profiles: DataFrame) -> DataFrame:
     """(a, b) of profiles that are one entity."""
-    keys = _block_keys(profiles)
     info = profiles.select("pid", "state", "gen", "firm", "spellings", "regs", "emails")
     side = lambda s: info.select(*[F.col(c).alias(f"{s}_{c}") for c in info.columns])
-    pairs = (
-        keys.withColumnRenamed("pid", "a_pid").join(keys.withColumnRenamed("pid", "b_pid"), "key").where(F.col("a_pid") < F.col("b_pid"))
-        .select("a_pid", "b_pid").distinct().join(side("a"), "a_pid").join(side("b"), "b_pid")
-    )
+    pairs = _candidates(profiles).join(side("a"), "a_pid").join(side("b"), "b_pid")
     # the cheap facts first: most pairs hold two registrations that differ, and no rule joins those
     step = barrier(pairs, ["a_pid", "b_pid", "a_spellings", "b_spellings"], {
         "gen": F.col("a_gen") == F.col("b_gen"), "firm": F.col("a_firm") == F.col("b_firm"), "is_firm": F.col("a_firm") & F.col("b_firm"),
@@ -136,7 +152,7 @@ def _matches(profiles: DataFrame) -> DataFrame:
         "email": F.arrays_overlap("a_emails", "b_emails"), "mails": (F.size("a_emails") > 0) & (F.size("b_emails") > 0) & ~F.arrays_overlap("a_emails", "b_emails"),
         "a_reg": F.size("a_regs") > 0, "b_reg": F.size("b_regs") > 0, "held_regs": F.array_union("a_regs", "b_regs"), "state": F.coalesce(F.col("a_state") == F.col("b_state"), F.lit(False)),
         "states": F.coalesce(F.col("a_state") != F.col("b_state"), F.lit(False)),
-        "close": F.exists("a_regs", lambda x: F.exists("b_regs", lambda y: (F.levenshtein(x, y) <= 1) | (F.abs(x.try_cast("long") - y.try_cast("long")) <= 300))),
+        "close": F.exists("a_regs", lambda x: F.exists("b_regs", lambda y: (F.levenshtein(x, y) <= 1) | (F.abs(x.try_cast("long") - y.try_cast("long")) <= CLOSE))),
     })
     step = step.where("gen and (reg or email or (state and firm and not mails and (not apart or close)))")
     # every spelling of one with every spelling of the other
@@ -215,6 +231,12 @@ def resolve(records: DataFrame) -> DataFrame:
     return member
 
 
+def named_by_smallest(member: DataFrame) -> DataFrame:
+    """(record_id, entity_id): the members, each entity by its smallest record."""
+    least = member.groupBy("entity").agg(F.min("record_id").alias("entity_id"))
+    return member.join(least, "entity").select("record_id", "entity_id").distinct()
+
+
 def same_entity_pairs(member: DataFrame) -> DataFrame:
     """(record_id_a, record_id_b), smaller first, of all records of one entity."""
     l, r = member.alias("l"), member.alias("r")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,17 +18,17 @@ _FLAT = r"(?:apartamento|apart|apto|apt|ap|unidade|unid|conjunto no|sala)\.?\s*(
 _TOWER = r"(?:bloco|torre|bl|tr)\.?\s*"
 #: Units on folded text: number before or after the tower, number with a letter, number alone.
 UNITS = (
-    rf"\b{_TOWER}(?<b1>[a-z])\b[\s,/-]*{_FLAT}(?<a1>\d{{1,4}})\b",
-    rf"\b{_FLAT}(?<a2>\d{{1,4}})\s*[,/-]?\s*{_TOWER}(?<b2>[a-z])\b",
-    rf"\b{_FLAT}(?<a3>\d{{1,4}})\s*-?\s*(?<b3>[a-z])\b(?![.'])",
-    rf"\b{_FLAT}(?<a4>\d{{1,4}})\b",
-    r"(?<![\d#])\b(?<a5>\d{2,4})-?(?<b5>[a-z])\b",
+    rf"\b{_TOWER}(?<b1>[a-z])\b[\s,/-]*{_FLAT}(?<a1>\d{{1,6}})\b",
+    rf"\b{_FLAT}(?<a2>\d{{1,6}})\s*[,/-]?\s*{_TOWER}(?<b2>[a-z])\b",
+    rf"\b{_FLAT}(?<a3>\d{{1,6}})\s*-?\s*(?<b3>[a-z])\b(?![.'])",
+    rf"\b{_FLAT}(?<a4>\d{{1,6}})\b",
+    r"(?<![\d#])\b(?<a5>\d{2,6})-?(?<b5>[a-z])\b",
 )
 UNIT = "(?:" + "|".join(UNITS) + ")"
 NOT_UNITS = r"\b(?:imovel residencial|terreo|c/ ?garagem|casa|fundos e frente|sobrado)\b"
 NUMBER = r"(?:\bn[o.]?\s*|\bnum\.?\s*|#\s*|\bnumero\s*)?"
 #: On the text without postal code and unit: the street is what stands before the first number.
-STREET = r"(?:^|[,:;()/]|\s-\s|\bsituado a\b|-(?=\s))\s*(?<s>[a-z][^,:;()/0-9#]*?)[\s,-]*" + NUMBER + r"\b(?<n>\d{1,5})\b"
+STREET = r"(?:^|[,:;()/]|\s-\s|\bsituado a\b|-(?=\s))\s*(?<s>[a-z][^,:;()/0-9#]*?)[\s,-]*" + NUMBER + r"\b(?<n>\d{1,7})\b"
 def ordinals(text: Column) -> Column:
     """Folded, with the signs of numbers (nº, n°) as `no`."""
     return F.regexp_replace(fold(text), "[º°]", "o")
@@ -149,9 +151,9 @@ def with_parts(streets: DataFrame, street: str) -> DataFrame:
     keep = streets.columns
     step = barrier(streets, keep, {"__ts": F.split(F.col(street), " ")})
     step = barrier(step, [*keep, "__ts"], {"kind": F.when(F.size("__ts") > 2, _known_word(F.col("__ts")[0], KIND_WORDS))})
-    step = barrier(step, [*keep, "kind"], {"__ts": F.when(F.col("kind").isNotNull(), F.slice("__ts", 2, 100)).otherwise(F.col("__ts"))})
+    step = barrier(step, [*keep, "kind"], {"__ts": F.when(F.col("kind").isNotNull(), F.slice("__ts", 2, F.size("__ts"))).otherwise(F.col("__ts"))})
     step = barrier(step, [*keep, "kind", "__ts"], {"title": F.when(F.size("__ts") > 2, _known_word(F.col("__ts")[0], TITLE_WORDS))})
-    return barrier(step, [*keep, "kind", "title"], {"names": F.when(F.col("title").isNotNull(), F.slice("__ts", 2, 100)).otherwise(F.col("__ts"))})
+    return barrier(step, [*keep, "kind", "title"], {"names": F.when(F.col("title").isNotNull(), F.slice("__ts", 2, F.size("__ts"))).otherwise(F.col("__ts"))})
 
 
 def _token_similarity(x: Column, y: Column) -> Column:
@@ -183,15 +185,37 @@ def with_similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def _blocks(streets: DataFrame, id_col: str, out: str) -> DataFrame:
-    """(key, out): one row per name token of at least three letters and deletion of it, hashed with the city."""
-    names = F.filter(F.col("names"), lambda t: F.length(t) >= 3)
-    keys = F.array_distinct(F.flatten(F.transform(names, lambda t: deletes(t, 1))))
-    return streets.select(F.col(id_col).alias(out), F.explode(F.transform(keys, lambda k: F.xxhash64("city", k))).alias("key"))
+    """(key, single, out): hashed with the city, what two streets share that with_similarity can find alike: up to a slip the
+    last name and the first or last letter of another one, or up to a slip another name and the first or last letter of the
+    last one; where one of them has a single name, the last name. So a frequent name alone is no key of long names."""
+    last = F.element_at("names", -1)
+    rest = F.array_distinct(F.slice("names", 1, F.greatest(F.size("names") - 1, F.lit(0))))
+    ends = lambda t: F.array(F.concat(F.substring(t, 1, 1), F.lit("-")), F.concat(F.lit("-"), F.right(t, F.lit(1))))
+    of_last, letters = deletes(last, 1), F.array_distinct(F.flatten(F.transform(rest, ends)))
+    a = F.flatten(F.transform(of_last, lambda k: F.transform(letters, lambda e: F.concat_ws("|", F.lit("a"), k, e))))
+    longer = F.filter(rest, lambda t: F.length(t) >= 3)
+    b = F.flatten(F.transform(F.flatten(F.transform(longer, lambda t: deletes(t, 1))), lambda k: F.transform(ends(last), lambda e: F.concat_ws("|", F.lit("b"), k, e))))
+    c = F.transform(of_last, lambda k: F.concat_ws("|", F.lit("c"), k))
+    rows = streets.where((F.size("names") > 0) & (F.length(last) > 1)).select("city", F.col(id_col).alias(out), (F.size("names") == 1).alias("single"), F.explode(F.concat(F.array_distinct(F.concat(a, b)), c)).alias("k"))
+    return rows.select(F.xxhash64("city", "k").alias("key"), F.when(F.col("k").startswith("c"), F.col("single")).alias("single"), out)
 
 
 def _candidates(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct (a, b) that share a key; only hashes are shuffled."""
-    return a.join(b, "key").select("a", "b").distinct()
+    """Distinct (a, b) of the blocks a and b that share a key; only hashes are shuffled. Of keys of the last name alone
+    one side must be a single name."""
+    others = lambda x: x.where("single is null").drop("single")
+    of = lambda x, one: x.where("single" if one else "not single").drop("single")
+    parts = [others(a).join(others(b), "key"), of(a, True).join(b.where("single is not null").drop("single"), "key"), of(a, False).join(of(b, True), "key")]
+    return reduce(DataFrame.unionByName, parts).select("a", "b").distinct()
+
+
+NO_STREET, NO_NUMBER, NO_PLACE = "no street", "no number", "no city and no postal code"
+
+
+def unlocated(rows: DataFrame) -> DataFrame:
+    """(id, reason) of the rows of parse_addresses with `city` that can't denote a location."""
+    why = F.when(F.col("a_street").isNull(), NO_STREET).when(F.col("a_number").isNull(), NO_NUMBER).when(F.col("a_cep").isNull() & F.col("city").isNull(), NO_PLACE)
+    return rows.select("id", why.alias("reason")).where("reason is not null").distinct()
 
 
 def locate(rows: DataFrame) -> DataFrame:
@@ -200,7 +224,7 @@ def locate(rows: DataFrame) -> DataFrame:
     A street is a postal code; a street text without one takes the code of the street of its city that it resembles
     most, with the house number, the unit and the district as further evidence between look-alikes; texts that
     resemble no such street are grouped among themselves. Rows without street, number or any of city and code have
-    no location.
+    no location; unlocated tells why.
     """
     rows = cut(rows.where(F.col("a_street").isNotNull() & F.col("a_number").isNotNull()).select(
         "id", "city", "a_cep", "a_street", "a_number", F.coalesce("a_flat", F.lit("")).alias("flat"), F.coalesce("a_tower", F.lit("")).alias("tower"),
@@ -231,7 +255,7 @@ def locate(rows: DataFrame) -> DataFrame:
     # the rest: texts of one city that resemble each other
     left = cut(open_.join(chosen, "id", "left_anti"))
     texts = cut(with_parts(left.select("city", "norm").distinct().withColumn("tid", F.xxhash64("city", "norm")), "norm"))
-    couples = _candidates(_blocks(texts, "tid", "a"), _blocks(texts, "tid", "b")).where(F.col("a") < F.col("b"))
+    couples = _candidates(_blocks(texts, "tid", "a"), _blocks(texts, "tid", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     couples = couples.join(texts.select(F.col("tid").alias("a"), *named(texts, "a_")), "a").join(texts.select(F.col("tid").alias("b"), *named(texts, "b_")), "b")
     links = with_similarity(couples, "a_", "b_").where(F.col("sim") >= ACCEPT_STREET + 0.1).select("a", "b")
     groups = hash_to_min(links, "a", "b")
@@ -243,7 +267,7 @@ def locate(rows: DataFrame) -> DataFrame:
         .unionByName(open_.join(chosen, "id").select(*cols, street(F.col("code"))))
         .unionByName(own.select(*cols, street(F.concat(F.lit("t"), F.coalesce("group_id", "tid").cast("string")))))
     )
-    return out.select("id", F.xxhash64("street", "a_number", "flat", "tower").alias("location")).distinct()
+    return out.select("id", F.concat_ws("|", "street", "a_number", "flat", "tower").alias("location")).distinct()
 
 
 def same_location_pairs(located: DataFrame) -> DataFrame:

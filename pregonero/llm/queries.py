@@ -14,13 +14,30 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.same_entity_pairs(entities.resolve(table(spark, sf_dir, "auctioneers_unified")))
 
 
+def p2_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record with its entity, the smallest record of it, instead of pairs."""
+    return entities.named_by_smallest(entities.resolve(table(spark, sf_dir, "auctioneers_unified")))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.canonical_groups(table(spark, sf_dir, "lot_canonical_link"))
 
 
+def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.parse_addresses(addresses.with_city(table(spark, sf_dir, "address"), table(spark, sf_dir, "ref_municipality")))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = addresses.with_city(table(spark, sf_dir, "address"), table(spark, sf_dir, "ref_municipality"))
-    return addresses.same_location_pairs(addresses.locate(addresses.parse_addresses(rows)))
+    return addresses.same_location_pairs(addresses.locate(_addresses(spark, sf_dir)))
+
+
+def p4_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per located address with its location, instead of pairs."""
+    return addresses.locate(_addresses(spark, sf_dir)).select(F.col("id").alias("address_id"), "location")
+
+
+def p4_unlocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.unlocated(_addresses(spark, sf_dir)).select(F.col("id").alias("address_id"), "reason")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +107,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.sum(hit).alias("abusive"), F.round(F.avg(hit), 6).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p7_values": p7_values, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities, "p3_found": p3_found, "p4_found": p4_found, "p4_locations": p4_locations, "p4_unlocated": p4_unlocated, "p5_found": p5_found, "p7_found": p7_found, "p7_values": p7_values, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE_SQL = {
     "p3_found": """
 WITH RECURSIVE e AS (

@@ -97,3 +97,37 @@ def test_shuffled_input_gives_the_same(spark, sf_dir):
     rows = df.collect()
     random.Random(1).shuffle(rows)
     assert pairs(df) == pairs(spark.createDataFrame(rows, df.schema))
+
+
+def test_spellings_of_a_merged_profile_match_together(spark):
+    """Only the union of the spellings of A and B is like C: A has the first name, B the second surname."""
+    cols = "record_id long, nome string, matricula string, junta_sigla string, uf string, innlei_email string"
+    rows = [
+        (1, "Rubervaldo Tinzumes Pralvardo", "1234", "JUCESP", "SP", None), (2, "R. Tinzumes Pralvardo Gorquvas", "1234", "JUCESP", "SP", "rt@casa.example"),
+        (3, "Tinzumes Pralvardo Gorquvas", None, "JUCESP", "SP", "rt@casa.example"), (4, "Rubervaldo Tinzumes Pralvardo", None, "JUCESP", "SP", None), (5, "Rubervaldo Tinzumes Pralvardo", "9999999", "JUCESP", "SP", None),
+    ]
+    got = {r.record_id: r.entity_id for r in entities.named_by_smallest(entities.resolve(spark.createDataFrame(rows[:4], cols))).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1}
+    # the same name under another registration far away is another person, and then the free record is open between both
+    more = {r.record_id: r.entity_id for r in entities.named_by_smallest(entities.resolve(spark.createDataFrame(rows, cols))).collect()}
+    assert more[1] == more[2] == more[3] == 1 and more[5] == 5
+
+
+def test_unlocated_addresses_have_a_reason(spark):
+    cols = "id long, street_type string, street_name string, number string, complement string, district string, municipality_name string, municipality_code string, uf string, cep string, raw_text string"
+    rows = [
+        (1, None, None, None, None, None, "Campo Verde", None, "RJ", None, None), (2, "Rua", "das Acacias", None, None, None, "Campo Verde", None, "RJ", None, None), (3, "Rua", "das Acacias", "12", None, None, None, None, None, None, None),
+        (4, "Rua", "das Acacias", "1234567", "apto 12345", None, "Campo Verde", None, "RJ", "20000-001", None), (5, "Rua", "das Acacias", "1234567", "ap 12345", None, "Campo Verde", None, "RJ", "20000001", None),
+    ]
+    got = addresses.parse_addresses(addresses.with_city(spark.createDataFrame(rows, cols), reference(spark)))
+    assert {r.id: r.reason for r in addresses.unlocated(got).collect()} == {1: addresses.NO_STREET, 2: addresses.NO_STREET, 3: addresses.NO_PLACE}
+    at = {r.id: r.location for r in addresses.locate(got).collect()}
+    assert at[4] == at[5] and set(at) == {4, 5}
+
+
+def test_streets_share_a_block(spark):
+    cases = [("joao silva", "joao da silva", True), ("j silva", "joao silva", True), ("ninzuvvsa cesar f", "x y", False), ("cesar f ninzuvvsa", "cesar feltumes ninzuvas", True), ("silva", "joao silva", True), ("maria silva", "pedro silva", False), ("ioao silva", "joao silva", True)]
+    for a, b, same in cases:
+        df = spark.createDataFrame([("c", 1, a.split()), ("c", 2, b.split())], "city string, id long, names array<string>")
+        pairs = addresses._candidates(addresses._blocks(df.where("id = 1"), "id", "a"), addresses._blocks(df.where("id = 2"), "id", "b")).count()
+        assert (pairs == 1) == same, (a, b)

@@ -33,7 +33,7 @@ _ACCENTS, _PLAIN = "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeee
 _UNIT = r"(k|mil|mm|mi|milhao|milhoes|cent|cents|centavos?)"
 #: currency, number, exponent, unit, currency word
 NUMBER = r"^\s*(r\$|brl|rs)?\s*(\d+(?:[.,]\d+)*)(?:,-)?(?:e(\d{1,2}))?\s*" + _UNIT + r"?\.?\s*(?:de\s+)?(reais|real|brl)?\s*(?:\([^)]*\))?\s*$"
-_FIGURES = r"(?:valor|valores|quantia|quantias|preco|precos|montante|montantes|importancia|importancias|cifra|cifras)\b[^.;)]{0,60}?\bem\s+"
+_FIGURES = r"(?:valor|valores|quantia|quantias|preco|precos|montante|montantes|importancia|importancias|cifra|cifras)\b[^.;)]*?\bem\s+"  # within a sentence, however long
 STATED = {
     "centavos": _FIGURES + r"centavos",
     "milhoes": _FIGURES + r"(?:r\$\s*(?:x|em)?\s*)?(?:milhoes|1\.000\.000|mi\b|mm\b)",
@@ -123,22 +123,30 @@ def read_amounts(df: DataFrame, value: str, hint: Column) -> DataFrame:
     })
 
 
-def _fit_base(x: np.ndarray, n: np.ndarray, parts: int = 3, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mixture of normals over binned logarithms x with counts n."""
+def _settled(before: float, now: float, count: float) -> bool:
+    """Whether a log-likelihood has stopped to rise: by under 10^-7 a value."""
+    return now - before < 1e-7 * count
+
+
+def _fit_base(x: np.ndarray, n: np.ndarray, parts: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mixture of normals over binned logarithms x with counts n, until the likelihood stops to rise."""
     order = np.argsort(x)
     x, n = x[order], n[order].astype(float)
     share = np.cumsum(n) / n.sum()
     mu = np.array([x[min(np.searchsorted(share, q), len(x) - 1)] for q in (0.3, 0.7, 0.995)[:parts]])
     sd = np.full(parts, max(1.0, math.sqrt(np.cov(x, fweights=n.astype(int)) if n.sum() > 2 else 1.0)))
-    w = np.full(parts, 1 / parts)
-    for _ in range(rounds):
+    w, before = np.full(parts, 1 / parts), -math.inf
+    while True:
         r = w * np.exp(-0.5 * ((x[:, None] - mu) / sd) ** 2) / sd + 1e-300
+        now = float((np.log(r.sum(1)) * n).sum())
+        if _settled(before, now, n.sum()):
+            return w, mu, sd
+        before = now
         r = r / r.sum(1, keepdims=True) * n[:, None]
         total = r.sum(0) + 1e-9
         mu = (r * x[:, None]).sum(0) / total
         sd = np.sqrt((r * (x[:, None] - mu) ** 2).sum(0) / total + 0.05)
         w = (total + 0.5) / (total + 0.5).sum()
-    return w, mu, sd
 
 
 class UnitModel:
@@ -201,9 +209,13 @@ def fit_units(read: DataFrame, anchor: Column) -> UnitModel:
         v, a, d, n = (np.array(c, dtype=float) for c in zip(*open_))
         allowed = np.stack([d <= max(0, math.log10(UNITS[u])) for u in units], 1)
         like = np.stack([model.density(v + (s := math.log(UNITS[u] / 100))) * model.ratio_density(v + s - a) for u in units], 1) * allowed
-        w = np.full(len(units), 1 / len(units))
-        for _ in range(200):
+        w, before = np.full(len(units), 1 / len(units)), -math.inf
+        while True:
             r = like * w
+            now = float((np.log(r.sum(1) + 1e-300) * n).sum())
+            if _settled(before, now, n.sum()):
+                break
+            before = now
             r = r / (r.sum(1, keepdims=True) + 1e-300) * n[:, None]
             w = (r.sum(0) + 0.01) / (r.sum() + 0.04)
         model.weights = dict(zip(units, map(float, w)))
@@ -211,8 +223,8 @@ def fit_units(read: DataFrame, anchor: Column) -> UnitModel:
 
 
 def with_centavos(read: DataFrame, model: UnitModel, anchor: Column) -> DataFrame:
-    """Add centavos (long), unit, posterior and uncertain. centavos is null where no amount is stated, for an amount
-    that isn't a whole number of centavos in any unit, and beyond 10^16."""
+    """Add centavos (long, rounded half up), unit, posterior and uncertain. centavos is null where no amount is stated
+    and from 10^16 on."""
     keep = [c for c in read.columns if not c.startswith("am_")]
     log_reais = F.ln(F.when(F.col("am_number") > 0, F.col("am_number")).cast("double"))
     log_anchor = F.ln(F.when(anchor > 0, anchor).cast("double"))

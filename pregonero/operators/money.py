@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +49,11 @@ def found_amounts(values: dict[str, DataFrame]) -> DataFrame:
         rows = rows.select("table_name", "row_id", "field_name", "item_no", "centavos")
         out = rows if out is None else out.unionByName(rows)
     return out.distinct()
+
+
+def unit_report(values: dict[str, DataFrame]) -> DataFrame:
+    """Distinct (table_name, row_id, field_name, item_no, centavos, unit, posterior, uncertain) of all values that state an
+    amount. posterior is 1 where the value or its record states the unit; uncertain means a posterior under 0.95."""
+    cols = ("table_name", "row_id", "field_name", "item_no", "centavos", "unit", F.round("posterior", 4).alias("posterior"), "uncertain")
+    parts = [convert_amounts(df.where(F.col("value").isNotNull())).where(F.col("centavos").isNotNull()).select(*cols) for df in values.values()]
+    return reduce(DataFrame.unionByName, parts).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pregonero.operators.instants import normalise_instants, timestamp_values
-from pregonero.operators.money import amount_values, found_amounts
+from pregonero.operators.money import amount_values, found_amounts, unit_report
 from pregonero.session import table
 
 
@@ -17,5 +17,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found_amounts(amount_values(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found}
+def p6_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every amount with the unit taken for it, the probability of that unit and whether it is uncertain."""
+    return unit_report(amount_values(spark, sf_dir))
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_amounts": p6_amounts}
 ORACLE_SQL: dict[str, str] = {}

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
-import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def build_session(app: str = "pregonero", master: str | None = None, shuffle_partitions: int = 8) -> SparkSession:
-    """A session with the settings the engine expects (UTC clock, AQE on)."""
+def build_session(app: str = "pregonero", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+    """A session with the settings the engine expects (UTC clock, AQE on). The number of shuffle partitions is left to the
+    cluster unless it is given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
@@ -27,30 +31,32 @@ def build_session(app: str = "pregonero", master: str | None = None, shuffle_par
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach. The cluster names it in spark.checkpoint.dir; only where that is
-    unset (tests, a laptop) a local folder is made and set."""
+    """Folder every executor can reach: the cluster names it in spark.checkpoint.dir. Only where all executors run in this
+    process (tests, a laptop) an unset one becomes a folder of this machine, removed at the end of the process; on a
+    cluster that is an error, as executors would write to disks that the others don't see."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = os.path.join(tempfile.gettempdir(), "pregonero-checkpoints")
+        folder = _local_folder(spark.sparkContext.master)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+@cache
+def _local_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="pregonero-checkpoints-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage with a reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager)
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a stage to the shared folder and read it back: columnar, prunable, and it survives executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """Broadcast hint only after counting that df has at most max_rows rows; beyond that the join is left
     to Catalyst (shuffle join with AQE skew handling)."""
@@ -64,7 +70,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers of every executor this package, once a session: it need not be installed there."""
-    import shutil
     from pathlib import Path
 
     context = spark.sparkContext
@@ -72,6 +77,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     root = Path(__file__).resolve().parent
     base = Path(tempfile.mkdtemp(prefix="pregonero-"))
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
     shutil.copytree(root, base / "src" / root.name, ignore=shutil.ignore_patterns("__pycache__"))
     context.addPyFile(shutil.make_archive(str(base / "pregonero_package"), "zip", base / "src"))
     context._pregonero_shipped = True

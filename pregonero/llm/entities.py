@@ -109,35 +109,37 @@ def with_similarity(pairs: DataFrame) -> DataFrame:
 
 
 def _block_keys(profiles: DataFrame) -> DataFrame:
-    """(pid, key, free): registration in its state, or with a name where the state is missing; personal e-mail; a name with
-    the initial of another one of its spelling, in the state, for the profiles that such a key may join: those without a
-    registration (free) with all, those with one only with those of a close one. Two profiles with registrations
-    far apart have no key of names alone in common, as no rule joins them."""
+    """(pid, key, weak), key a hash: registration in its state, or with a name where the state is missing; personal e-mail;
+    a name with the initial of another one of its spelling, in the state; what close registrations share. Two profiles
+    with registrations are no pair by names alone, so there the key is weak: one of both must have none."""
     state = F.coalesce("state", F.lit("?"))
     full = F.filter("names", lambda t: F.length(t) > 1)
     none = F.array().cast("array<string>")
     cross = F.flatten(F.transform(full, lambda t: F.transform(F.filter("names", lambda o: o != t), lambda o: F.concat_ws("|", F.lit("n"), state, sound(t), F.substring(o, 1, 1)))))
     alone = F.when(F.size("names") == 1, F.array(F.concat_ws("|", F.lit("n"), state, sound(F.col("names")[0]), F.lit("")))).otherwise(none)
-    # registrations a slip apart share one of their deletions, those at most CLOSE apart one of two neighbouring ranges
-    near = lambda r: F.concat(deletes(r, 1), F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.concat(F.lit("#"), (F.floor(r.try_cast("long") / CLOSE) + i).cast("string"))))
-    close = F.flatten(F.transform("regs", lambda r: F.flatten(F.transform(F.array_compact(near(r)), lambda k: F.transform(full, lambda t: F.concat_ws("|", F.lit("s"), state, k, sound(t)))))))
-    of_profile = F.concat(F.transform("regs", lambda r: F.concat_ws("|", F.lit("r"), state, r)), F.transform("emails", lambda e: F.concat_ws("|", F.lit("e"), e)))
+    # registrations a slip apart share one of their deletions; those at most CLOSE apart one of two neighbouring ranges, taken with a name
+    slips = F.transform("regs", lambda r: F.transform(deletes(r, 1), lambda k: F.concat_ws("|", F.lit("s"), state, k)))
+    ranges = lambda r: F.array_compact(F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.floor(r.try_cast("long") / CLOSE) + i))
+    near = F.transform("regs", lambda r: F.flatten(F.transform(ranges(r), lambda k: F.transform(full, lambda t: F.concat_ws("|", F.lit("c"), state, k.cast("string"), sound(t))))))
+    known = F.col("state").isNotNull()
+    of_profile = F.concat(
+        F.transform("regs", lambda r: F.concat_ws("|", F.lit("r"), state, r)), F.transform("emails", lambda e: F.concat_ws("|", F.lit("e"), e)), F.when(known, F.flatten(slips)).otherwise(none),
+    )
     of_spelling = F.concat(
         F.flatten(F.transform("regs", lambda r: F.transform(full, lambda t: F.concat_ws("|", F.lit("x"), r, sound(t))))),
-        F.when(F.col("state").isNotNull(), F.concat(F.array_distinct(cross), alone, close)).otherwise(none),
+        F.when(known, F.concat(F.array_distinct(cross), alone, F.flatten(near))).otherwise(none),
     )
-    free = (F.size("regs") == 0).alias("free")
+    held = F.size("regs") > 0
     spelt = profiles.select("pid", "state", "regs", F.explode("spellings").alias("names"))
-    return profiles.select("pid", F.explode(of_profile).alias("key"), free).unionByName(spelt.select("pid", F.explode(of_spelling).alias("key"), free)).distinct()
+    rows = profiles.select("pid", F.explode(of_profile).alias("k"), held.alias("held")).unionByName(spelt.select("pid", F.explode(of_spelling).alias("k"), held.alias("held")))
+    return rows.select("pid", F.xxhash64("k").alias("key"), (F.col("held") & F.col("k").startswith("n|")).alias("weak")).distinct()
 
 
 def _candidates(profiles: DataFrame) -> DataFrame:
     """Distinct (a_pid, b_pid), smaller first, that share a key which may join them."""
-    keys = cut(_block_keys(profiles))
-    pair = lambda x, y: x.select("key", F.col("pid").alias("p")).join(y.select("key", F.col("pid").alias("q")), "key").select(F.least("p", "q").alias("a_pid"), F.greatest("p", "q").alias("b_pid"))
-    of_names = F.col("key").startswith("n|")
-    free, held, others = keys.where(of_names & F.col("free")), keys.where(of_names & ~F.col("free")), keys.where(~of_names)
-    return pair(free, free).unionByName(pair(free, held)).unionByName(pair(others, others)).where(F.col("a_pid") < F.col("b_pid")).distinct()
+    keys = _block_keys(profiles)
+    a, b = (keys.select("key", F.col("pid").alias(f"{s}_pid"), F.col("weak").alias(f"{s}_weak")) for s in "ab")
+    return a.join(b, "key").where("a_pid < b_pid and not (a_weak and b_weak)").select("a_pid", "b_pid").distinct()
 
 
 def _matches(profiles: DataFrame) -> DataFrame:

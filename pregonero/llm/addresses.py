@@ -186,12 +186,12 @@ def with_similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 def _blocks(streets: DataFrame, id_col: str, out: str) -> DataFrame:
     """(key, single, out): hashed with the city, what two streets share that with_similarity can find alike: up to a slip the
-    last name and the first or last letter of another one, or up to a slip another name and the first or last letter of the
+    last name and the first letter of another one, or up to a slip another name and the first or last letter of the
     last one; where one of them has a single name, the last name. So a frequent name alone is no key of long names."""
     last = F.element_at("names", -1)
     rest = F.array_distinct(F.slice("names", 1, F.greatest(F.size("names") - 1, F.lit(0))))
     ends = lambda t: F.array(F.concat(F.substring(t, 1, 1), F.lit("-")), F.concat(F.lit("-"), F.right(t, F.lit(1))))
-    of_last, letters = deletes(last, 1), F.array_distinct(F.flatten(F.transform(rest, ends)))
+    of_last, letters = deletes(last, 1), F.array_distinct(F.transform(rest, lambda t: F.substring(t, 1, 1)))
     a = F.flatten(F.transform(of_last, lambda k: F.transform(letters, lambda e: F.concat_ws("|", F.lit("a"), k, e))))
     longer = F.filter(rest, lambda t: F.length(t) >= 3)
     b = F.flatten(F.transform(F.flatten(F.transform(longer, lambda t: deletes(t, 1))), lambda k: F.transform(ends(last), lambda e: F.concat_ws("|", F.lit("b"), k, e))))

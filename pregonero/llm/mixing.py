@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pregonero.functions.timestamps import barrier
 from pregonero.llm.ranking import ranked
 from pregonero.session import cut, small
 
@@ -55,7 +56,9 @@ def with_permuted(rows: DataFrame, number: Column, count: Column, out: str, seed
             a = F.pmod(a + h(b, i + 1, high), high)
         return a * low + b
 
-    once = rows.withColumn("__once", shuffle(number.cast("long")))
+    # each step in columns of its own: a step that an expression repeats would be computed again and again
+    once = barrier(rows, rows.columns, {"__number": number.cast("long")})
+    once = barrier(once, rows.columns, {"__once": shuffle(F.col("__number"))})
     walk = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.col("__once"), lambda x, _: F.when(x < count, x).otherwise(shuffle(x)))
     return once.withColumn(out, F.when(F.col("__once") < count, F.col("__once")).otherwise(walk)).drop("__once")
 

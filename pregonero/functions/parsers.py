@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from pregonero.functions.text import STATES, fold, normalise_uf, unaccent, words
+from pregonero.functions.text import STATES, fold, unaccent, words
 
 
 def blank_to_null(text: Column) -> Column:
@@ -204,5 +204,24 @@ def geocode_query(street: Column, number: Column, district: Column, city: Column
     return F.concat_ws(", ", blank_to_null(street), F.when(~none, F.trim(number)), blank_to_null(district), blank_to_null(city), blank_to_null(uf), F.lit("Brasil"))
 
 
-def usable_uf(text: Column) -> Column:
-    return normalise_uf(text)
+PEPPER_SETTING = "pregonero.cpf.pepper"
+
+
+def session_pepper(spark: SparkSession) -> str:
+    """SF12: the secret of the session's setting; it never becomes a column. Missing or short ones are an error."""
+    pepper = spark.conf.get(PEPPER_SETTING, None) or ""
+    if len(pepper) < 32:
+        raise ValueError(f"{PEPPER_SETTING} needs at least 32 characters")
+    return pepper
+
+
+def hash_cpf(text: Column, pepper: str) -> Column:
+    """FN2: keyed hash of the eleven digits of a person's number; another count of digits gives null, for quarantine."""
+    digits = F.regexp_replace(text, r"\D", "")
+    return F.when(F.length(digits) == 11, hmac_sha256(digits, pepper))
+
+
+def geocode_confidence(importance: Column, has_number: Column, has_road: Column) -> Column:
+    """FN19: importance, at least 0.85 with a house number and 0.55 with a road, from 0 to 1 with two decimals."""
+    least = lambda c, v: F.when(c, v).otherwise(0.0)
+    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(importance, F.lit(0.0)), least(has_number, 0.85), least(has_road, 0.55))), 2)

@@ -55,3 +55,36 @@ def lot_search(lots: DataFrame, units: DataFrame, places: DataFrame, links: Data
     unit = units.select(F.col("id").alias("spatial_unit_id"), "kind", "address_id")
     place = places.select(F.col("id").alias("address_id"), "uf", "municipality_code")
     return shown.join(unit, "spatial_unit_id", "left").join(place, "address_id", "left")
+
+
+def markdown_table(rows: DataFrame, columns: list[str], most: int = 1000) -> str:
+    """SNK4: the first rows of a small, ordered result as a Markdown table; the numbers are made in Spark, only the text here."""
+    lines = ["| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
+    lines += ["| " + " | ".join("" if r[c] is None else str(r[c]).replace("|", "\\|") for c in columns) + " |" for r in rows.select(*columns).limit(most).collect()]
+    return "\n".join(lines)
+
+
+def write_csv(rows: DataFrame, columns: list[str], path: str) -> None:
+    """SNK3: a fixed order of columns; missing ones are empty, others are left out."""
+    rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]).write.mode("overwrite").option("header", True).csv(path)
+
+
+def patch_csv(spark: SparkSession, old: str, new: str, patch: DataFrame, key: str) -> None:
+    """SNK9: the rows of a CSV folder with the values of patch where it has some, written to another folder, so a broken run
+    leaves the old one whole."""
+    rows = spark.read.option("header", True).csv(old)
+    cols = [c for c in patch.columns if c != key]
+    fresh = patch.select(key, *[F.col(c).cast("string").alias(f"__{c}") for c in cols])
+    got = rows.join(fresh, key, "left").select(*[F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in rows.columns])
+    got.write.mode("overwrite").option("header", True).csv(new)
+
+
+def stamp_changes(old: DataFrame, new: DataFrame, key: str, columns: list[str], at: Column) -> DataFrame:
+    """FN21: old rows with the columns of new where given; updated_at is `at` where a column really changes."""
+    fresh = new.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
+    got = old.join(fresh, key, "left")
+    changed = F.lit(False)
+    for c in columns:
+        changed = changed | (F.col(f"__{c}").isNotNull() & ~F.col(f"__{c}").eqNullSafe(F.col(c)))
+    out = got.withColumn("updated_at", F.when(changed, at).otherwise(F.col("updated_at")))
+    return out.select(*[F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in old.columns])

@@ -33,16 +33,24 @@ def update_from(target: DataFrame, new: DataFrame, keys: list[str], columns: lis
     return target.join(fresh, keys, "left").select(*[F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns])
 
 
-def upsert_fold(observations: DataFrame, keys: list[str], order: list[str], policy: dict[str, str]) -> DataFrame:
-    """UPS5: many observations per key folded in order. overwrite: the last value even if null; coalesce: the last one
-    that isn't null; keep: the first. One aggregation with partial folding, no window and no MERGE."""
+def upsert_fold(observations: DataFrame, keys: list[str], order: list[str], policy: dict[str, str | tuple[str, str]]) -> DataFrame:
+    """UPS3-5/7: many observations per key folded in order. overwrite: the last value even if null; coalesce: the last one
+    that isn't null; keep: the first; (last_not, v) and (first_not, v): the last or first that is neither null nor the
+    default v, else v. One aggregation with partial folding, no window and no MERGE."""
     at = F.struct(*[F.coalesce(F.col(c).cast("timestamp"), F.lit(0).cast("timestamp")) if observations.schema[c].dataType.simpleString() == "timestamp" else F.col(c) for c in order])
     fold = {
         "overwrite": lambda c: F.max_by(F.struct(c), at)[c],
         "coalesce": lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)),
         "keep": lambda c: F.min_by(F.struct(c), at)[c],
     }
-    return observations.groupBy(*keys).agg(*[fold[p](c).alias(c) for c, p in policy.items()])
+    known = lambda c, v: F.when(F.col(c).isNotNull() & (F.col(c) != v), at)
+
+    def one(c: str, how: str | tuple[str, str]) -> Column:
+        if isinstance(how, str):
+            return fold[how](c)
+        return F.coalesce((F.max_by if how[0] == "last_not" else F.min_by)(F.col(c), known(c, how[1])), F.lit(how[1]))
+
+    return observations.groupBy(*keys).agg(*[one(c, how).alias(c) for c, how in policy.items()])
 
 
 def replace_children(old: DataFrame, new: DataFrame, parent: list[str]) -> DataFrame:
@@ -61,13 +69,58 @@ def ordered_children(rows: DataFrame, parent: list[str], order: list[str], colum
     return rows.groupBy(*parent).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("children"))
 
 
-def pairs_by_any_key(rows: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
-    """J9: pairs that agree in any key, as a union of equi-joins; an OR condition would be a nested-loop join."""
+def matches_by_any_key(rows: DataFrame, id_col: str, keys: list[str], most: int = 5) -> DataFrame:
+    """J9: (id, match, place): the first `most` other ids, by size, that agree with a record in any key. Of every value of a
+    key only its smallest most + 1 ids are joined back, which hold all that can be among the first, so a value that
+    many records share is no product; an OR condition would be a nested-loop join."""
+    ids = rows.select(F.col(id_col).alias("i"), *keys)
     parts = []
     for k in keys:
-        side = rows.where(F.col(k).isNotNull()).select(F.col(k).alias("k"), F.col(id_col).alias("i"))
-        parts.append(side.alias("l").join(side.alias("r"), "k").where(F.col("l.i") < F.col("r.i")).select(F.col("l.i").alias("a"), F.col("r.i").alias("b")))
-    return reduce(DataFrame.unionByName, parts).distinct()
+        side = ids.where(F.col(k).isNotNull()).select(F.col(k).alias("k"), "i").distinct()
+        few = top_k(side, ["k"], [F.col("i").asc()], most + 1, "__few").select("k", F.col("i").alias("match"))
+        parts.append(side.join(few, "k").where(F.col("i") != F.col("match")).select("i", "match"))
+    both = reduce(DataFrame.unionByName, parts).distinct()
+    return top_k(both, ["i"], [F.col("match").asc()], most, "place").withColumnRenamed("i", id_col)
+
+
+def bank_links(lots: DataFrame) -> DataFrame:
+    """UPS12: (secondary, canonical, match_kind, confidence): every lot of a bank that shares its address or registry key with
+    a lot of another kind of source is secondary to the smallest such lot. lots: (id, kind, address_key,
+    registry_key). What kind of match it is follows from the keys that the bank's lot has. Only minima per key are joined."""
+    of = lambda k, out: lots.where((F.col("kind") != "bank") & F.col(k).isNotNull()).groupBy(k).agg(F.min("id").alias(out))
+    got = lots.where("kind = 'bank'").join(of("address_key", "__a"), "address_key", "left").join(of("registry_key", "__r"), "registry_key", "left")
+    both, reg = F.col("address_key").isNotNull() & F.col("registry_key").isNotNull(), F.col("registry_key").isNotNull()
+    return got.where("__a is not null or __r is not null").select(
+        F.col("id").alias("secondary"), F.least("__a", "__r").alias("canonical"), F.when(both, "address+registry").when(reg, "registry").otherwise("address").alias("match_kind"), F.when(both, 90).when(reg, 70).otherwise(55).alias("confidence"),
+    )
+
+
+def merge_registries(left: DataFrame, right: DataFrame) -> DataFrame:
+    """J13/SET5: (source_kind, left_id, right_id) of two registries with (id, number, board, name, extras), extras the further
+    (number, board) of a left record. A left record takes the right one of its number and board, else the largest of its
+    extras', else one of its name: the smallest of its board, or the only one. All right records that extras name count
+    as matched; what is left of the right side is appended."""
+    by_number = right.where("number is not null and board is not null").groupBy("number", "board").agg(F.max("id").alias("r"))
+    own = left.join(by_number, ["number", "board"]).select(F.col("id").alias("left_id"), F.col("r").alias("own"))
+    told = left.select(F.col("id").alias("left_id"), F.explode("extras").alias("x")).select("left_id", "x.number", "x.board").join(by_number, ["number", "board"])
+    extra = told.groupBy("left_id").agg(F.max("r").alias("extra"))
+    named = right.where("name <> ''")
+    same = named.where("board is not null").groupBy("name", "board").agg(F.min("id").alias("same"))
+    once = named.groupBy("name").agg(F.min("id").alias("only"), F.count("*").alias("n")).where("n = 1").drop("n")
+    got = left.select(F.col("id").alias("left_id"), "name", "board").join(own, "left_id", "left").join(extra, "left_id", "left").join(same, ["name", "board"], "left").join(once, "name", "left")
+    matched = got.select("left_id", F.coalesce("own", "extra", "same", "only").alias("right_id"))
+    used = matched.where("right_id is not null").select(F.col("right_id").alias("id")).unionByName(told.select(F.col("r").alias("id"))).distinct()
+    rest = right.select("id").join(used, "id", "left_anti").select(F.lit("right_only").alias("source_kind"), F.lit(None).cast("long").alias("left_id"), F.col("id").alias("right_id"))
+    return matched.select(F.when(F.col("right_id").isNotNull(), "both").otherwise("left_only").alias("source_kind"), "left_id", "right_id").unionByName(rest)
+
+
+def cached_lookup(asked: DataFrame, cache: DataFrame, key: str, as_of: Column, days: int) -> DataFrame:
+    """J17: asked with outcome: hit, negative (known to give nothing), expired or miss. cache: (key, found, at), the latest
+    entry of a key counts."""
+    last = cache.groupBy(key).agg(F.max_by("found", "at").alias("__found"), F.max("at").alias("__at"))
+    got = asked.join(last, key, "left")
+    old = F.col("__at") < as_of - F.make_interval(days=F.lit(days))
+    return got.withColumn("outcome", F.when(F.col("__at").isNull(), "miss").when(old, "expired").when(F.col("__found"), "hit").otherwise("negative")).drop("__found", "__at")
 
 
 def trigram_match(names: DataFrame, reference: DataFrame, name: str, of: str, block: str, code: str, least: float) -> DataFrame:
@@ -82,16 +135,6 @@ def trigram_match(names: DataFrame, reference: DataFrame, name: str, of: str, bl
     return first_by(good, [name, block], [F.col("exact").desc(), F.col("sim").desc(), F.col(code).asc()]).select(name, block, code)
 
 
-def staged_linkage(left: DataFrame, right: DataFrame, id_col: str, key: str, name: str) -> DataFrame:
-    """J13: (left_id, right_id, pass): first by key, then what is left by a name that occurs once on the right."""
-    lone = right.groupBy(key, name).agg(F.max(id_col).alias("right_id"))
-    by_key = left.join(lone.select(key, "right_id"), key).groupBy(F.col(id_col).alias("left_id")).agg(F.max("right_id").alias("right_id"))
-    once = lone.groupBy(name).agg(F.max("right_id").alias("right_id"), F.count("*").alias("__times")).where("__times = 1").drop("__times")
-    rest = left.join(by_key.select(F.col("left_id").alias(id_col)), id_col, "left_anti")
-    by_name = rest.join(once, name).select(F.col(id_col).alias("left_id"), "right_id")
-    return by_key.withColumn("pass", F.lit("key")).unionByName(by_name.withColumn("pass", F.lit("name")))
-
-
 def within_km(points: DataFrame, lat: float, lon: float, km: float, lat_col: str = "lat", lon_col: str = "lon") -> DataFrame:
     """J10: points within a distance, with it. A box around the centre goes to the scan, the exact distance follows."""
     import math

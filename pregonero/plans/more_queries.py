@@ -20,7 +20,7 @@ from pregonero.sources import readers
 @query("SELECT CAST(id AS BIGINT) AS id, lot_title AS title FROM probe2_imoveis_with_bid WHERE lot_title IS NOT NULL")
 def src6_paged_json(spark, d):
     t = table(spark, d, "probe2_imoveis_with_bid").where(F.col("lot_title").isNotNull()).select("id", F.col("lot_title").alias("title"))
-    pages = t.groupBy((F.col("id") % 7).alias("page")).agg(F.collect_list(F.struct("id", "title")).alias("data"))
+    pages = t.groupBy(F.floor(F.col("id") / 100).alias("page")).agg(F.collect_list(F.struct("id", "title")).alias("data"))
     got = spark.read.schema("page bigint, data array<struct<id: bigint, title: string>>").json(readers.round_trip(pages, "json"))
     return readers.flatten_pages(got, "data")
 
@@ -44,15 +44,6 @@ def snk1_jsonl_decimals_as_text(spark, d):
     return spark.read.schema("id bigint, minimum_bid string").json(readers.round_trip(rows, "json"))
 
 
-@query("SELECT source_short_name, id FROM spatial_unit WHERE source_short_name = 'lance-azul'")
-def snk8_versioned_table(spark, d):
-    base = readers.new_folder(spark, "gold")
-    rows = table(spark, d, "spatial_unit").select("source_short_name", "id")
-    J.publish(rows.limit(0), base, ["id"], partition="source_short_name")
-    J.publish(rows, base, ["id"], partition="source_short_name")
-    return J.current(spark, base).where("source_short_name = 'lance-azul'").select("source_short_name", "id")
-
-
 @query("SELECT kind, count(u.id) AS n FROM (VALUES ('static'), ('casa'), ('apartamento'), ('galpao')) k(kind) LEFT JOIN spatial_unit u USING (kind) GROUP BY 1")
 def snk5_fixed_domain_counts(spark, d):
     return R.fixed_domain_counts(table(spark, d, "spatial_unit"), "kind", ["static", "casa", "apartamento", "galpao"])
@@ -68,14 +59,8 @@ def snk6_quarantine(spark, d):
 # ---- parsers -----------------------------------------------------------------------------------------------------
 
 
-@query("SELECT id, upper(regexp_extract(url, '-([a-z]{2})(?:/|$)', 1)) AS uf FROM fetch_event WHERE regexp_matches(url, '-(sp|rj|mg|go|ba|pr|rs|sc|ce|pe|pa|es|df|mt|ms|to|ro|rr|ac|al|am|ap|ma|pb|pi|rn|se)(?:/|$)')")
-def prj27_uf_from_url(spark, d):
-    f = table(spark, d, "fetch_event").select("id", "url").where(F.col("url").rlike(r"-(sp|rj|mg|go|ba|pr|rs|sc|ce|pe|pa|es|df|mt|ms|to|ro|rr|ac|al|am|ap|ma|pb|pi|rn|se)(?:/|$)"))
-    return f.select("id", P.uf_from_slug(F.col("url")).alias("uf"))
-
-
 @query("SELECT item_id, NULLIF(regexp_extract(description, 'Referência interna ([A-Z]?[0-9]+)', 1), '') AS ref, NULLIF(regexp_extract(description, 'com área de ([0-9.,]+) m²', 1), '') AS area FROM pilot_item")
-def prj19_labelled_fields(spark, d):
+def labelled_fields_of_items(spark, d):
     t = F.col("description")
     return table(spark, d, "pilot_item").select("item_id", P.group(t, r"Referência interna ([A-Z]?[0-9]+)", 1).alias("ref"), P.group(t, r"com área de ([0-9.,]+) m²", 1).alias("area"))
 
@@ -265,12 +250,12 @@ def ups21_resolve_code(spark, d):
 
 
 @query(f"SELECT coalesce({rules_sql('text', PROPERTY_RULES)}, 'desconhecido') AS label, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1")
-def txt1_first_rule_counts(spark, d):
+def kinds_of_documents(spark, d):
     return table(spark, d, "documents").where(F.col("text").isNotNull()).groupBy(P.first_rule(F.col("text"), PROPERTY_RULES, "desconhecido").alias("label")).agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT doc_id, array_to_string(({_CL.replace('description', 'text')})[1:3], ',') AS signals FROM documents WHERE text IS NOT NULL")
-def txt2_signals(spark, d):
+def clauses_of_documents(spark, d):
     return table(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", F.array_join(F.slice(P.all_rules(F.col("text"), CLAUSE_RULES), 1, 3), ",").alias("signals"))
 
 
@@ -299,8 +284,15 @@ def gold_lot_search_stats(spark, d):
 
 @query("SELECT user_id, date_trunc('day', ts) AS start, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily_counts(spark, d):
-    from pyspark.sql import functions as F
+    """A real stream with a watermark, run until the input is used up; its last windows are flushed by a row after them."""
+    from pregonero.streaming.jobs import daily_counts
+
+    return daily_counts(spark, d)
+
 
-    from pregonero.streaming.jobs import windowed_counts
+@query("SELECT source_short_name, source_lot_code, max(CASE WHEN n > 1 THEN 'seen again' ELSE 'new' END) AS outcome, max(n) AS n FROM (SELECT source_short_name, source_lot_code, count(*) OVER (PARTITION BY source_short_name, source_lot_code) AS n FROM auction_lot WHERE source_lot_code IS NOT NULL AND source_short_name IS NOT NULL) GROUP BY 1, 2")
+def stream_known_lots(spark, d):
+    """Incremental crawl: what a batch brings for known keys only touches them, new keys are added."""
+    from pregonero.streaming.jobs import known_lots
 
-    return windowed_counts(table(spark, d, "events"), "ts", ["user_id"], "1 day", "1 day")
+    return known_lots(spark, d)

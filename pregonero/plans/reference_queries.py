@@ -90,7 +90,7 @@ def snk2_parquet_nested_as_json(spark, d):
 @query("""SELECT item_id, rounds[1].minimum_bid_brl AS first_bid,
  array_to_string(list_transform(list_filter(rounds[2:], lambda r: r.round_number IS NOT NULL), lambda r: concat(r.round_number, '@', coalesce(r.minimum_bid_brl, ''))), '; ') AS extras FROM pilot_item WHERE len(rounds) > 0""")
 def src7_nested_flatten(spark, d):
-    r = F.filter(F.slice("rounds", 2, 1000), lambda x: x.round_number.isNotNull())
+    r = F.filter(F.slice("rounds", 2, F.size("rounds")), lambda x: x.round_number.isNotNull())
     extras = F.array_join(F.transform(r, lambda x: F.concat(x.round_number.cast("string"), F.lit("@"), F.coalesce(x.minimum_bid_brl, F.lit("")))), "; ")
     return table(spark, d, "pilot_item").where(F.size("rounds") > 0).select("item_id", F.try_element_at("rounds", F.lit(1)).getField("minimum_bid_brl").alias("first_bid"), extras.alias("extras"))
 
@@ -163,12 +163,6 @@ def prj8_br_date(spark, d):
     return table(spark, d, "probe2_imoveis_with_bid").select("id", P.br_date(F.col("auction_date_init")).alias("day"))
 
 
-@query("SELECT item_id, CAST(r.round_number AS INTEGER) AS round_number, min(r.minimum_bid_brl) AS minimum_bid_brl FROM (SELECT item_id, unnest(rounds) AS r FROM pilot_item) WHERE r.round_number IN (1, 2) GROUP BY 1, 2")
-def prj10_two_rounds(spark, d):
-    r = table(spark, d, "pilot_item").select("item_id", F.explode("rounds").alias("r")).where(F.col("r.round_number").isin(1, 2))
-    return r.groupBy("item_id", F.col("r.round_number").alias("round_number")).agg(F.min("r.minimum_bid_brl").alias("minimum_bid_brl"))
-
-
 def _uf_sql(c: str) -> str:
     from pregonero.functions.text import STATES
 
@@ -208,14 +202,9 @@ def prj23_normalize_name(spark, d):
     return table(spark, d, "auctioneers_unified").select("record_id", P.plain_name(F.col("nome")).alias("name"))
 
 
-@query("""SELECT record_id, NULLIF(regexp_replace(regexp_replace(regexp_replace(upper(strip_accents(matricula)), '^\\s*(MATRICULA|MAT|N[O.]?)\\b[.:]?', ''), '[^A-Z0-9_]', '', 'g'), '^0+([0-9A-Z])', '\\1'), '') AS registration FROM auctioneers_unified WHERE NOT regexp_matches(coalesce(matricula, ''), '[º°]')""")
+@query("""SELECT record_id, NULLIF(regexp_replace(regexp_replace(regexp_replace(upper(strip_accents(translate(matricula, 'º°', '  '))), '^\\s*(MATRICULA|MAT|N[O.]?)\\b[.:]?', ''), '[^A-Z0-9_]', '', 'g'), '^0+([0-9A-Z])', '\\1'), '') AS registration FROM auctioneers_unified""")
 def prj24_normalize_matricula(spark, d):
-    return table(spark, d, "auctioneers_unified").where(~F.coalesce(F.col("matricula"), F.lit("")).rlike("[º°]")).select("record_id", P.registration(F.col("matricula")).alias("registration"))
-
-
-@query()
-def prj24_normalize_matricula_whole(spark, d):
-    """Every row; the SQL of prj24_normalize_matricula leaves out the rows with a sign of numbers."""
+    """Every row: the signs of numbers end the word before a registration on both sides."""
     return table(spark, d, "auctioneers_unified").select("record_id", P.registration(F.col("matricula")).alias("registration"))
 
 
@@ -238,18 +227,6 @@ def fn4_parse_address_blob(spark, d):
     return table(spark, d, "address").select("id", P.address_blob(F.col("raw_text")).alias("x")).select("id", "x.*")
 
 
-@query("SELECT id, array_to_string(list_distinct_ordered, '|') AS urls FROM (SELECT id, [source_url] AS list_distinct_ordered FROM auction_lot WHERE source_url IS NOT NULL)")
-def prj32_collect_urls(spark, d):
-    urls = F.slice(F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", "source_url", "source_url"), F.lit(r"(https?://[^\s\"'<>]+)"), 1)), 1, 20)
-    return table(spark, d, "auction_lot").where(F.col("source_url").isNotNull()).select("id", F.array_join(urls, "|").alias("urls"))
-
-
-@query()
-def prj32_collect_urls_of_texts(spark, d):
-    text = F.concat_ws(" ", "description", "source_url")
-    return table(spark, d, "auction_lot").select("id", F.array_join(P.collect_urls(text), "|").alias("urls"))
-
-
 @query(f"SELECT id, left(replace({words_sql('lot_title')}, ' ', '-'), 80) AS slug FROM probe2_imoveis_with_bid")
 def prj33_slug(spark, d):
     return table(spark, d, "probe2_imoveis_with_bid").select("id", P.slug(F.col("lot_title")).alias("slug"))
@@ -419,13 +396,6 @@ def j8_fuzzy_blocked_match(spark, d):
     return R.trigram_match(names, table(spark, d, "ref_municipality").select("ibge_code", "uf", words(F.col("name")).alias("of")), "name", "of", "uf", "ibge_code", 0.6)
 
 
-@query("""WITH k AS (SELECT id, NULLIF(regexp_replace(cep, '[^0-9]', '', 'g'), '') || '|' || number AS k1, NULLIF(trim(raw_text), '') AS k2 FROM address)
- SELECT DISTINCT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b FROM k a JOIN k b ON a.id < b.id AND (a.k1 = b.k1 OR a.k2 = b.k2)""")
-def j9_or_key_join(spark, d):
-    a = table(spark, d, "address").select("id", (F.concat(F.nullif(F.regexp_replace("cep", r"\D", ""), F.lit("")), F.lit("|"), F.col("number"))).alias("k1"), P.blank_to_null(F.col("raw_text")).alias("k2"))
-    return R.pairs_by_any_key(a, "id", ["k1", "k2"])
-
-
 _HAV = "2 * 6371.0088 * asin(sqrt(least(pow(sin(radians(latitude + 23.5) / 2), 2) + cos(radians(-23.5)) * cos(radians(latitude)) * pow(sin(radians(longitude + 46.6) / 2), 2), 1.0)))"
 
 
@@ -452,18 +422,6 @@ def j12_repoint_keys(spark, d):
 _N = "regexp_replace(matricula, '[^0-9]', '', 'g')"
 
 
-@query(f"""WITH a AS (SELECT record_id, NULLIF(ltrim({_N}, '0'), '') || '|' || uf AS k, {words_sql('nome')} AS n FROM auctioneers_unified WHERE source_kind = 'innlei_only' OR source_kind = 'both'),
- b AS (SELECT k, n, max(record_id) AS record_id FROM (SELECT record_id, NULLIF(ltrim({_N}, '0'), '') || '|' || uf AS k, {words_sql('nome')} AS n FROM auctioneers_unified WHERE source_kind = 'junta_only') GROUP BY k, n),
- p1 AS (SELECT a.record_id AS left_id, max(b.record_id) AS right_id FROM a JOIN b ON a.k = b.k GROUP BY 1),
- u AS (SELECT n, max(record_id) AS record_id FROM b GROUP BY n HAVING count(*) = 1),
- p2 AS (SELECT a.record_id AS left_id, u.record_id AS right_id FROM a JOIN u ON a.n = u.n WHERE a.record_id NOT IN (SELECT left_id FROM p1))
- SELECT left_id, right_id, 'key' AS pass FROM p1 UNION ALL SELECT left_id, right_id, 'name' FROM p2""")
-def j13_registry_linkage(spark, d):
-    digits = F.nullif(F.regexp_replace(F.regexp_replace("matricula", r"\D", ""), "^0+", ""), F.lit(""))
-    rows = table(spark, d, "auctioneers_unified").select("record_id", "source_kind", F.concat(digits, F.lit("|"), F.col("uf")).alias("k"), words(F.col("nome")).alias("n"))
-    return R.staged_linkage(rows.where("source_kind <> 'junta_only'"), rows.where("source_kind = 'junta_only'"), "record_id", "k", "n")
-
-
 @query("SELECT l.id FROM auction_lot l WHERE EXISTS (SELECT 1 FROM probe2_imoveis_with_bid p WHERE p.source_short_name = l.source_short_name AND p.lot_number = l.lot_number)")
 def j15_tuple_semi(spark, d):
     p = table(spark, d, "probe2_imoveis_with_bid").select("source_short_name", "lot_number")
@@ -477,13 +435,6 @@ def j16_lookup_last_wins(spark, d):
     return table(spark, d, "auction_lot").select("id", "source_url").join(last, "source_url", "left").select("id", "http_status")
 
 
-@query("""WITH q AS (SELECT id, sha256(lower(trim(raw_text))) AS h FROM address WHERE raw_text IS NOT NULL), c AS (SELECT h, min(id) AS cached FROM q WHERE id % 2 = 0 GROUP BY h) SELECT q.id, c.cached IS NOT NULL AS hit FROM q LEFT JOIN c USING (h)""")
-def j17_cache_lookup(spark, d):
-    q = table(spark, d, "address").where(F.col("raw_text").isNotNull()).select("id", F.sha2(F.lower(F.trim("raw_text")), 256).alias("h"))
-    cached = q.where(F.col("id") % 2 == 0).groupBy("h").agg(F.min("id").alias("cached"))
-    return q.join(cached, "h", "left").select("id", F.col("cached").isNotNull().alias("hit"))
-
-
 @query()
 def j17_cache_lookup_geocoded(spark, d):
     """The cache holds the texts that have a position; j17_cache_lookup simulates one by even ids."""
@@ -517,8 +468,8 @@ def agg3_region_stats(spark, d):
     return b.groupBy("uf").agg(F.count("*").alias("lots"), F.count("minimum_bid").alias("priced")).join(lists, "uf", "left").withColumn("top_kinds", F.coalesce("top_kinds", F.lit("")))
 
 
-def _lots_by_place(spark, d) -> DataFrame:
-    lots = table(spark, d, "auction_lot").select("id", "spatial_unit_id", "minimum_bid")
+def _lots_by_place(spark, d, *more: str) -> DataFrame:
+    lots = table(spark, d, "auction_lot").select("id", "spatial_unit_id", "minimum_bid", *more)
     units = table(spark, d, "spatial_unit").select(F.col("id").alias("spatial_unit_id"), "kind", "address_id")
     places = table(spark, d, "address").select(F.col("id").alias("address_id"), "uf", "municipality_code", "district")
     return lots.join(units, "spatial_unit_id").join(places, "address_id")
@@ -587,10 +538,10 @@ def agg18_root_causes(spark, d):
     f = table(spark, d, "fetch_event")
     bucket = F.when(F.col("error_message").isNotNull(), "error").when(F.col("http_status") >= 400, "http").when(F.col("response_size_bytes").isNull(), "empty").otherwise("ok")
     rows = f.select("id", bucket.alias("bucket")).distinct()
-    # the smallest three of a bucket come from partial minima, not from a sorted bucket
-    shards = rows.groupBy("bucket", (F.col("id") % 64).alias("s")).agg(F.slice(F.array_sort(F.collect_set("id")), 1, 3).alias("few"), F.count("*").alias("n"))
-    g = shards.groupBy("bucket").agg(F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, 3).alias("few"))
-    return g.select("bucket", "n", F.array_join(F.transform("few", lambda x: x.cast("string")), ",").alias("samples"))
+    # three ids per bucket: the limit of the rank goes below the shuffle, so no task gathers a bucket
+    few = R.ordered_children(R.top_k(rows, ["bucket"], [F.col("id").asc()], 3), ["bucket"], ["k"], ["id"])
+    samples = few.select("bucket", F.array_join(F.transform("children", lambda x: x.id.cast("string")), ",").alias("samples"))
+    return rows.groupBy("bucket").agg(F.count("*").alias("n")).join(samples, "bucket")
 
 
 # ---- windows, order, sets ----------------------------------------------------------------------------------------
@@ -628,13 +579,6 @@ def set2_metrics_union(spark, d):
     return R.row_counts({t: table(spark, d, t) for t in ("auction_lot", "spatial_unit", "address")})
 
 
-@query("SELECT short_name FROM ref_source WHERE short_name NOT IN (SELECT source_short_name FROM probe2_imoveis_with_bid WHERE source_short_name IS NOT NULL) AND short_name NOT IN (SELECT auctioneer_slug FROM pilot_item WHERE auctioneer_slug IS NOT NULL)")
-def set3_difference(spark, d):
-    a = table(spark, d, "probe2_imoveis_with_bid").select(F.col("source_short_name").alias("short_name"))
-    b = table(spark, d, "pilot_item").select(F.col("auctioneer_slug").alias("short_name"))
-    return table(spark, d, "ref_source").select("short_name").join(a, "short_name", "left_anti").join(b, "short_name", "left_anti")
-
-
 # ---- deduplication and upsert ------------------------------------------------------------------------------------
 
 

@@ -2,12 +2,12 @@
 
 import pytest
 
-from pregonero.plans import core_queries, more_queries, reference_queries
+from pregonero.plans import core_queries, survey
 
 from .conftest import rows_of
 
-QUERIES = core_queries.QUERIES | reference_queries.QUERIES
-ORACLES = core_queries.ORACLE_SQL | reference_queries.ORACLE_SQL
+QUERIES = core_queries.QUERIES | survey.QUERIES
+ORACLES = core_queries.ORACLE_SQL | survey.ORACLE_SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -21,6 +21,6 @@ def test_query(name, spark, sf_dir, duck):
 
 
 def test_no_crossing_joins(spark, sf_dir):
-    for name in ("j9_or_key_join", "j8_fuzzy_blocked_match", "j13_registry_linkage"):
+    for name in ("j9_five_matches", "j8_fuzzy_blocked_match", "j13_merged_registries"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -93,7 +93,7 @@ def cached_html(urls: DataFrame, cache: DataFrame, prefer: str) -> DataFrame:
 
 def read_html_files(spark: SparkSession, glob: str) -> DataFrame:
     """SRC5: (key, kind, html) of files named key.kind.html."""
-    files = spark.read.option("wholetext", True).text(glob).select(F.col("value").alias("html"), F.element_at(F.split("_metadata.file_name", r"\."), 1).alias("key"), F.element_at(F.split("_metadata.file_name", r"\."), 2).alias("kind"))
+    files = spark.read.text(glob, wholetext=True).select(F.col("value").alias("html"), F.element_at(F.split("_metadata.file_name", r"\."), 1).alias("key"), F.element_at(F.split("_metadata.file_name", r"\."), 2).alias("kind"))
     return files.select("key", "kind", "html")
 
 

@@ -39,7 +39,9 @@ def daily_counts(spark: SparkSession, sf_dir: str, base: str | None = None) -> D
     """(user_id, start, n) of all events by day. In update mode a window comes again when late events change it; the last
     count of a window is the largest."""
     base = base or new_folder(spark, "stream")
-    counts = windowed_counts(_read(spark, sf_dir, "events"), "ts", ["user_id"], "1 day", "1 day")
+    events = _read(spark, sf_dir, "events")
+    kind = events.schema["ts"].dataType
+    counts = windowed_counts(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["user_id"], "1 day", "1 day").withColumn("start", F.col("start").cast(kind))
     run(counts, base, "update", lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}"))
     return spark.read.parquet(f"{base}/out").groupBy("user_id", "start").agg(F.max("n").alias("n"))
 

@@ -9,7 +9,6 @@ from pregonero.functions import parsers as P
 from pregonero.operators import relational as R
 from pregonero.plans.reference_queries import QUERIES
 from pregonero.sources import readers
-from pregonero.streaming.jobs import first_seen, windowed_counts
 
 
 def column(spark, texts, f):
@@ -30,13 +29,6 @@ def test_registration_after_the_sign_of_numbers(spark):
     assert column(spark, texts, P.registration) == ["493", "493", "10012", "77", "493", "12", "493SP", "JUCESP1135", "0", None, None]
 
 
-def test_registrations_of_the_whole_table(spark, tmp_path):
-    rows = [(1, "nº 493"), (2, "n° 00493"), (3, "493"), (4, None)]
-    spark.createDataFrame(rows, "record_id long, matricula string").write.parquet(f"{tmp_path}/auctioneers_unified.parquet")
-    got = {tuple(r) for r in QUERIES["prj24_normalize_matricula_whole"](spark, str(tmp_path)).collect()}
-    assert got == {(1, "493"), (2, "493"), (3, "493"), (4, None)}
-
-
 def test_collected_urls(spark):
     text = "ver https://a.example/2.jpg e <img src='https://a.example/Logo.png'> https://a.example/1.pdf?x=1 https://a.example/2.jpg http://b.example"
     assert column(spark, [text, "sem", None], P.collect_urls) == [["https://a.example/2.jpg", "https://a.example/1.pdf?x=1", "http://b.example"], [], None]
@@ -105,7 +97,35 @@ def test_publish_keeps_the_old_version_on_a_bad_key(spark, tmp_path):
     assert [tuple(r) for r in current(spark, base).collect()] == [(3, "c")]
 
 
-def test_streaming_helpers_on_tables(spark):
-    e = spark.createDataFrame([("2024-01-01 00:10:00", "a"), ("2024-01-01 00:20:00", "a")], "ts string, k string").withColumn("ts", F.to_timestamp("ts"))
-    assert windowed_counts(e, "ts", ["k"], "1 hour", "1 hour").collect()[0].n == 2
-    assert first_seen(e, ["k"], "ts").isStreaming is False
+def test_a_restarted_stream_goes_on(spark, tmp_path):
+    """The second run of a job with its folder counts only what came after the first."""
+    from pregonero.streaming.jobs import known_lots
+
+    cols = "id long, source_short_name string, source_lot_code string"
+    lots, base = tmp_path / "in", f"file://{tmp_path}/job"
+    spark.createDataFrame([(1, "a", "1"), (2, "a", "2"), (3, None, "2")], cols).write.parquet(f"{lots}/auction_lot.parquet")
+    one = {tuple(r) for r in known_lots(spark, str(lots), base).collect()}
+    assert one == {("a", "1", "new", 1), ("a", "2", "new", 1)}
+    spark.createDataFrame([(4, "a", "2"), (5, "b", "9")], cols).write.mode("append").parquet(f"{lots}/auction_lot.parquet")
+    assert {tuple(r) for r in known_lots(spark, str(lots), base).collect()} == {("a", "1", "new", 1), ("a", "2", "seen again", 2), ("b", "9", "new", 1)}
+
+
+def test_a_stream_with_a_watermark(spark, tmp_path):
+    from pregonero.streaming.jobs import daily_counts, first_seen
+
+    e = spark.createDataFrame([(1, "2024-01-01 00:10:00"), (1, "2024-01-01 23:20:00"), (2, "2024-01-02 00:00:00")], "user_id long, ts string").withColumn("ts", F.to_timestamp("ts"))
+    e.write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted((r.user_id, str(r.start)[:10], r.n) for r in daily_counts(spark, str(tmp_path)).collect()) == [(1, "2024-01-01", 2), (2, "2024-01-02", 1)]
+    stream = first_seen(spark.readStream.schema(e.schema).parquet(f"{tmp_path}/events.parquet*"), ["user_id"], "ts")
+    assert stream.isStreaming
+    got = stream.writeStream.format("memory").queryName("firsts").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    got.awaitTermination()
+    assert sorted(r.user_id for r in spark.table("firsts").collect()) == [1, 2]
+
+
+def test_shared_folder_or_error():
+    from pregonero.session import _local_folder
+
+    with __import__("pytest").raises(RuntimeError):
+        _local_folder("spark://host:7077")
+    assert _local_folder("local[4]") == _local_folder("local[4]")

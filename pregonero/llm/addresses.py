@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -190,23 +188,24 @@ def _blocks(streets: DataFrame, id_col: str, out: str) -> DataFrame:
     last one; where one of them has a single name, the last name. So a frequent name alone is no key of long names."""
     last = F.element_at("names", -1)
     rest = F.array_distinct(F.slice("names", 1, F.greatest(F.size("names") - 1, F.lit(0))))
-    ends = lambda t: F.array(F.concat(F.substring(t, 1, 1), F.lit("-")), F.concat(F.lit("-"), F.right(t, F.lit(1))))
-    of_last, letters = deletes(last, 1), F.array_distinct(F.transform(rest, lambda t: F.substring(t, 1, 1)))
-    a = F.flatten(F.transform(of_last, lambda k: F.transform(letters, lambda e: F.concat_ws("|", F.lit("a"), k, e))))
-    longer = F.filter(rest, lambda t: F.length(t) >= 3)
-    b = F.flatten(F.transform(F.flatten(F.transform(longer, lambda t: deletes(t, 1))), lambda k: F.transform(ends(last), lambda e: F.concat_ws("|", F.lit("b"), k, e))))
-    c = F.transform(of_last, lambda k: F.concat_ws("|", F.lit("c"), k))
-    rows = streets.where((F.size("names") > 0) & (F.length(last) > 1)).select("city", F.col(id_col).alias(out), (F.size("names") == 1).alias("single"), F.explode(F.concat(F.array_distinct(F.concat(a, b)), c)).alias("k"))
-    return rows.select(F.xxhash64("city", "k").alias("key"), F.when(F.col("k").startswith("c"), F.col("single")).alias("single"), out)
+    rows = streets.where((F.size("names") > 0) & (F.length(last) > 1))
+    # pieces in columns of their own: a lambda would compute them again for every element
+    keep = ["city", id_col, "__single"]
+    rows = barrier(rows.withColumn("__single", F.size("names") == 1), keep, {
+        "__last": deletes(last, 1), "__first": F.array_distinct(F.transform(rest, lambda t: F.substring(t, 1, 1))),
+        "__rest": F.array_distinct(F.flatten(F.transform(F.filter(rest, lambda t: F.length(t) >= 3), lambda t: deletes(t, 1)))), "__ends": F.array(F.concat(F.substring(last, 1, 1), F.lit("-")), F.concat(F.lit("-"), F.right(last, F.lit(1)))),
+    })
+    both = lambda x, y, mark: F.flatten(F.transform(x, lambda k: F.transform(y, lambda e: F.concat(F.lit(mark), k, F.lit("|"), e))))
+    pairs = rows.select("city", F.col(id_col).alias(out), F.lit(None).cast("boolean").alias("single"), F.explode(F.concat(both("__last", "__first", "a"), both("__rest", "__ends", "b"))).alias("k"))
+    alone = rows.select("city", F.col(id_col).alias(out), F.col("__single").alias("single"), F.explode("__last").alias("k"))
+    return pairs.unionByName(alone).select(F.xxhash64("city", "k").alias("key"), "single", out)
 
 
 def _candidates(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct (a, b) of the blocks a and b that share a key; only hashes are shuffled. Of keys of the last name alone
     one side must be a single name."""
-    others = lambda x: x.where("single is null").drop("single")
-    of = lambda x, one: x.where("single" if one else "not single").drop("single")
-    parts = [others(a).join(others(b), "key"), of(a, True).join(b.where("single is not null").drop("single"), "key"), of(a, False).join(of(b, True), "key")]
-    return reduce(DataFrame.unionByName, parts).select("a", "b").distinct()
+    one = b.withColumnRenamed("single", "other")
+    return a.join(one, "key").where("single is null or single or other").select("a", "b").distinct()
 
 
 NO_STREET, NO_NUMBER, NO_PLACE = "no street", "no number", "no city and no postal code"

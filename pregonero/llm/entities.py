@@ -201,11 +201,24 @@ def _fold(rows: DataFrame, by: str) -> DataFrame:
     )
 
 
+def _office_mails(rows: DataFrame) -> DataFrame:
+    """(email) of the mailboxes of offices: those with registrations of several boards, or whose registrations don't agree on
+    the name: no two names (or the only one) are those of half of them. How many registrations there are doesn't matter,
+    so one person's registration may be typed in any number of ways."""
+    held = rows.where(F.col("reg").isNotNull() & F.col("email").isNotNull()).select("email", "state", "reg", "names")
+    of_mail = held.groupBy("email").agg(F.count_distinct("state", "reg").alias("k"), F.count_distinct("state").alias("boards"))
+    full = F.array_distinct(F.transform(F.filter("names", lambda t: F.length(t) > 1), sound))
+    told = held.select("email", F.concat_ws("|", "state", "reg").alias("place"), F.explode(full).alias("t")).distinct().groupBy("email", "t").agg(F.count("*").alias("m"))
+    common = told.join(of_mail, "email").groupBy("email").agg(F.count_if(F.col("m") * 2 >= F.col("k")).alias("common"), F.count("*").alias("all"))
+    got = of_mail.where("k > 1").join(common, "email", "left")
+    return got.where((F.col("boards") > 1) | (F.coalesce("common", F.lit(0)) < F.least(F.lit(2), F.coalesce("all", F.lit(1))))).select("email")
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """(record_id, entity) with equal entity for records of one person or organisation.
 
     Repeated records collapse into one profile first. Names that share no letter, empty names without registration or
-    e-mail stay alone. Rounds go on until no two profiles match; each leaves fewer of them. E-mails that records of several registrations share are of an office and count for nothing.
+    e-mail stay alone. Rounds go on until no two profiles match; each leaves fewer of them. E-mails of offices count for nothing.
     """
     got = cut(read_names(records))
     # nicknames and slips that stand for each other under one registration
@@ -215,7 +228,7 @@ def resolve(records: DataFrame) -> DataFrame:
     texts = got.where(F.size("names") > 0).select(F.array_join("names", " ").alias("street")).distinct()
     new = rewrite(texts, aliases)
     got = got.withColumn("street", F.array_join("names", " ")).join(new, "street", "left").withColumn("names", F.when(F.col("to").isNotNull(), F.split("to", " ")).otherwise(F.col("names"))).drop("street", "to")
-    offices = got.where(F.col("reg").isNotNull()).groupBy("email").agg(F.count_distinct("state", "reg").alias("k"), F.count_distinct("state").alias("ks")).where((F.col("ks") > 1) | (F.col("k") > 3)).select("email", F.lit(True).alias("office"))
+    offices = _office_mails(got).withColumn("office", F.lit(True))
     got = got.join(offices, "email", "left").withColumn("email", F.when(F.col("office").isNull(), F.col("email"))).drop("office")
     base = got.withColumn("pid", F.xxhash64(F.coalesce("state", F.lit("")), F.coalesce("reg", F.lit("")), F.coalesce("email", F.lit("")), "gen", F.array_join("names", " "), F.when(F.size("names") == 0, F.col("record_id")).otherwise(0)))
     base = cut(base)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pregonero.llm import abuse, addresses, canonical_list, components, entities, mixing, packing, survivors, tokens
 from pregonero.operators.money import amount_values, convert_amounts
-from pregonero.session import table
+from pregonero.session import small, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,36 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.sum(hit).alias("abusive"), F.round(F.avg(hit), 6).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities, "p3_found": p3_found, "p4_found": p4_found, "p4_locations": p4_locations, "p4_unlocated": p4_unlocated, "p5_found": p5_found, "p7_found": p7_found, "p7_values": p7_values, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+def p8_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the containers: every text with letters is in one, none is over its capacity, and no text that
+    fits into one is split."""
+    packed = _packed(spark, sf_dir)
+    capacities = small(table(spark, sf_dir, "pack_capacity"))
+    bins = packed.groupBy("capacity_id", "container_id").agg(F.sum("tokens").alias("t")).join(capacities, "capacity_id")
+    over = bins.groupBy("capacity_id").agg(F.count_if(F.col("t") > F.col("capacity_tokens")).alias("over_full"))
+    texts = packed.groupBy("capacity_id", "doc_id").agg(F.sum("tokens").alias("t"), F.max("piece_no").alias("p")).join(capacities, "capacity_id")
+    split = (F.col("t") <= F.col("capacity_tokens")) & (F.col("p") > 0)
+    return texts.groupBy("capacity_id").agg(F.count_distinct("doc_id").alias("texts"), F.count_if(split).alias("split_short")).join(over, "capacity_id")
+
+
+def p9_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the mix: no text is used too often, and no share is off its target by more than the largest texts
+    of the sources together, as texts stay whole."""
+    got = p9_shares(spark, sf_dir)
+    largest = _sized(spark, sf_dir).groupBy("source").agg(F.max("tokens").alias("most")).join(table(spark, sf_dir, "mix_target").select("source"), "source").agg(F.sum("most").alias("slack"))
+    bound = got.agg(F.sum("tokens").alias("all")).crossJoin(F.broadcast(largest))
+    near = F.abs(F.col("actual_share") - F.col("target_share")) * F.col("all") <= F.col("slack")
+    yes = lambda c: F.when(c, "yes").otherwise("no")
+    return got.crossJoin(F.broadcast(bound)).select("source", yes(F.col("most_uses") <= F.col("max_repeats")).alias("within_repeats"), yes(near).alias("on_target"))
+
+
+def p10_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document has a score: documents per source, and those without letters among the lowest."""
+    got = _scored(spark, sf_dir)
+    return got.groupBy("source").agg(F.count("abuse_score").alias("documents"), F.count_if(F.col("abuse_score").isNull()).alias("unscored"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities, "p3_found": p3_found, "p4_found": p4_found, "p4_locations": p4_locations, "p4_unlocated": p4_unlocated, "p5_found": p5_found, "p7_found": p7_found, "p7_values": p7_values, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_checked": p8_checked, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_checked": p9_checked, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates, "p10_checked": p10_checked}
 ORACLE_SQL = {
     "p3_found": """
 WITH RECURSIVE e AS (
@@ -116,4 +145,7 @@ WITH RECURSIVE e AS (
 sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 walk AS (SELECT a AS id, a AS seen FROM sym UNION SELECT w.id, x.b FROM walk w JOIN sym x ON x.a = w.seen)
 SELECT id AS lot_id, min(seen) AS group_id FROM walk GROUP BY id""",
+    "p8_checked": "SELECT capacity_id, (SELECT count(DISTINCT doc_id) FROM documents WHERE length(text) > 0) AS texts, CAST(0 AS BIGINT) AS split_short, CAST(0 AS BIGINT) AS over_full FROM pack_capacity",
+    "p9_checked": "SELECT source, 'yes' AS within_repeats, 'yes' AS on_target FROM mix_target",
+    "p10_checked": "SELECT source, count(*) AS documents, CAST(0 AS BIGINT) AS unscored FROM documents GROUP BY 1",
 }

@@ -261,7 +261,10 @@ def fn1_unaccent(spark, d):
     return table(spark, d, "auctioneers_unified").select("record_id", fold(F.col("nome")).alias("name"))
 
 
-@query()
+_PADS = ["".join(f"{b ^ x:02x}" for b in b"0123456789abcdef0123456789abcdef".ljust(64, b"\0")) for x in (0x5C, 0x36)]
+
+
+@query(f"SELECT record_id, sha256(unhex('{_PADS[0]}') || unhex(sha256(unhex('{_PADS[1]}') || encode(coalesce(matricula, ''))))) AS hash FROM auctioneers_unified")
 def fn2_keyed_hash(spark, d):
     return table(spark, d, "auctioneers_unified").select("record_id", P.hmac_sha256(F.coalesce(F.col("matricula"), F.lit("")), "0123456789abcdef0123456789abcdef").alias("hash"))
 

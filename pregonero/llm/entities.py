@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pregonero.functions.text import deletes, edit_distance, fold, normalise_uf, words
+from pregonero.functions.text import edit_distance, fold, normalise_uf, words
 from pregonero.functions.timestamps import barrier
 from pregonero.llm.addresses import mine_rewrites, rewrite
 from pregonero.llm.canonical_list import sound
@@ -109,37 +109,37 @@ def with_similarity(pairs: DataFrame) -> DataFrame:
 
 
 def _block_keys(profiles: DataFrame) -> DataFrame:
-    """(pid, key, weak), key a hash: registration in its state, or with a name where the state is missing; personal e-mail;
-    a name with the initial of another one of its spelling, in the state; what close registrations share. Two profiles
-    with registrations are no pair by names alone, so there the key is weak: one of both must have none."""
+    """(pid, key, reg), key a hash: registration in its state, or with a name where the state is missing; personal e-mail; a
+    name with the initial of another one of its spelling, in the state. reg is the registration of a profile that has one,
+    on the keys of names alone."""
     state = F.coalesce("state", F.lit("?"))
     full = F.filter("names", lambda t: F.length(t) > 1)
     none = F.array().cast("array<string>")
     cross = F.flatten(F.transform(full, lambda t: F.transform(F.filter("names", lambda o: o != t), lambda o: F.concat_ws("|", F.lit("n"), state, sound(t), F.substring(o, 1, 1)))))
     alone = F.when(F.size("names") == 1, F.array(F.concat_ws("|", F.lit("n"), state, sound(F.col("names")[0]), F.lit("")))).otherwise(none)
-    # registrations a slip apart share one of their deletions; those at most CLOSE apart one of two neighbouring ranges, taken with a name
-    slips = F.transform("regs", lambda r: F.transform(deletes(r, 1), lambda k: F.concat_ws("|", F.lit("s"), state, k)))
-    ranges = lambda r: F.array_compact(F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.floor(r.try_cast("long") / CLOSE) + i))
-    near = F.transform("regs", lambda r: F.flatten(F.transform(ranges(r), lambda k: F.transform(full, lambda t: F.concat_ws("|", F.lit("c"), state, k.cast("string"), sound(t))))))
-    known = F.col("state").isNotNull()
-    of_profile = F.concat(
-        F.transform("regs", lambda r: F.concat_ws("|", F.lit("r"), state, r)), F.transform("emails", lambda e: F.concat_ws("|", F.lit("e"), e)), F.when(known, F.flatten(slips)).otherwise(none),
-    )
+    of_profile = F.concat(F.transform("regs", lambda r: F.concat_ws("|", F.lit("r"), state, r)), F.transform("emails", lambda e: F.concat_ws("|", F.lit("e"), e)))
     of_spelling = F.concat(
         F.flatten(F.transform("regs", lambda r: F.transform(full, lambda t: F.concat_ws("|", F.lit("x"), r, sound(t))))),
-        F.when(known, F.concat(F.array_distinct(cross), alone, F.flatten(near))).otherwise(none),
+        F.when(F.col("state").isNotNull(), F.concat(F.array_distinct(cross), alone)).otherwise(none),
     )
-    held = F.size("regs") > 0
+    only = F.when(F.size("regs") == 1, F.get("regs", F.lit(0))).alias("reg")
     spelt = profiles.select("pid", "state", "regs", F.explode("spellings").alias("names"))
-    rows = profiles.select("pid", F.explode(of_profile).alias("k"), held.alias("held")).unionByName(spelt.select("pid", F.explode(of_spelling).alias("k"), held.alias("held")))
-    return rows.select("pid", F.xxhash64("k").alias("key"), (F.col("held") & F.col("k").startswith("n|")).alias("weak")).distinct()
+    rows = profiles.select("pid", F.explode(of_profile).alias("k"), only).unionByName(spelt.select("pid", F.explode(of_spelling).alias("k"), only))
+    return rows.select("pid", F.xxhash64("k").alias("key"), F.when(F.col("k").startswith("n|"), F.col("reg")).alias("reg")).distinct()
+
+
+def _close(x: Column, y: Column) -> Column:
+    """Whether two registrations may be one that was typed wrong."""
+    return (F.levenshtein(x, y) <= 1) | (F.abs(x.try_cast("long") - y.try_cast("long")) <= CLOSE)
 
 
 def _candidates(profiles: DataFrame) -> DataFrame:
-    """Distinct (a_pid, b_pid), smaller first, that share a key which may join them."""
+    """Distinct (a_pid, b_pid), smaller first, that share a key which may join them: by names alone two registrations must
+    be close, so within the join most pairs of a frequent name end before they are rows."""
     keys = _block_keys(profiles)
-    a, b = (keys.select("key", F.col("pid").alias(f"{s}_pid"), F.col("weak").alias(f"{s}_weak")) for s in "ab")
-    return a.join(b, "key").where("a_pid < b_pid and not (a_weak and b_weak)").select("a_pid", "b_pid").distinct()
+    a, b = (keys.select("key", F.col("pid").alias(f"{s}_pid"), F.col("reg").alias(f"{s}_reg")) for s in "ab")
+    known = F.col("a_reg").isNotNull() & F.col("b_reg").isNotNull()
+    return a.join(b, "key").where((F.col("a_pid") < F.col("b_pid")) & (~known | F.coalesce(_close(F.col("a_reg"), F.col("b_reg")), F.lit(False)))).select("a_pid", "b_pid").distinct()
 
 
 def _matches(profiles: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def _matches(profiles: DataFrame) -> DataFrame:
         "email": F.arrays_overlap("a_emails", "b_emails"), "mails": (F.size("a_emails") > 0) & (F.size("b_emails") > 0) & ~F.arrays_overlap("a_emails", "b_emails"),
         "a_reg": F.size("a_regs") > 0, "b_reg": F.size("b_regs") > 0, "held_regs": F.array_union("a_regs", "b_regs"), "state": F.coalesce(F.col("a_state") == F.col("b_state"), F.lit(False)),
         "states": F.coalesce(F.col("a_state") != F.col("b_state"), F.lit(False)),
-        "close": F.exists("a_regs", lambda x: F.exists("b_regs", lambda y: (F.levenshtein(x, y) <= 1) | (F.abs(x.try_cast("long") - y.try_cast("long")) <= CLOSE))),
+        "close": F.exists("a_regs", lambda x: F.exists("b_regs", lambda y: _close(x, y))),
     })
     step = step.where("gen and (reg or email or (state and firm and not mails and (not apart or close)))")
     # every spelling of one with every spelling of the other

@@ -112,12 +112,14 @@ def _subsequences(c: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray,
     closing = np.zeros(n, dtype=bool)
     closing[ends[1:] - 1] = True
     over = {last: (stops[last : last + n] - stops[1 : n + 1] > 0) | closing for last in {o[-1] for o, _, _ in OFFSETS}}
-    heads: dict[tuple, np.ndarray] = {(0,): at[0]}
+    heads: list[np.ndarray] = [at[0]]  # the code of each beginning of the offsets before, which the next ones share
+    before: tuple = (0,)
     for offsets, w, length in OFFSETS:
-        for k in range(2, len(offsets) + 1):
-            if offsets[:k] not in heads:
-                heads[offsets[:k]] = heads[offsets[: k - 1]] * np.uint32(A) + at[offsets[k - 1]]
-        code = heads.pop(offsets)  # the longest is used once, its beginnings again
+        same = next((i for i, (x, y) in enumerate(zip(before, offsets)) if x != y), min(len(before), len(offsets)))
+        del heads[same:]
+        for o in offsets[same:]:
+            heads.append(heads[-1] * np.uint32(A) + at[o])
+        before, code = offsets, heads[-1]
         yield np.where(over[offsets[-1]], np.uint32(TABLE), ((code + np.uint32(length * 7919)) * np.uint32(0x9E3779B1)) >> np.uint32(11)), w
 
 

@@ -43,6 +43,11 @@ def test_looked_up_sentences_score_alike(model, tmp_path):
     assert (abuse.Filter.load(tmp_path / "filter.npz").scores(texts) == once).all()
 
 
+def test_one_long_sentence(model):
+    text = "casa boa com vista para o vale " * 60_000
+    assert model.score(text) < abuse.ACCEPT <= model.score(text + "cala a boca seu imbecil nojento " + text)
+
+
 def test_letter_scores_against_plain_loops(model):
     """The sums of a sentence, letter by letter."""
     from itertools import combinations

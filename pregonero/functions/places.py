@@ -25,7 +25,7 @@ STATE_CLUES = (
 #: Cities that a folded text names, in order.
 CITY_CLUES = (r"municipio\s*(?:de\s+|:\s*)([a-z][a-z\s.']{2,40}?)(?:\s*,|\s*[.]|$|\s*\()", r"(?:^|\s)(?:em|na|no)\s+([a-z][a-z\s.']{2,40}?)\s*(?:,|[.]|$)", r"cidade\s*:\s*([a-z][a-z\s.']{2,40}?)(?:\s*/|\s*,|\s*$|\s*\|)")
 LABELLED = r"(?i)^(.*?)(?:\s+-\s+([^-]+?))?\s*cidade\s*:\s*([^/]+?)\s*/\s*([a-z]{2})\s*(?:-\s*cep\s*:\s*(\d{5}-?\d{3}))?\s*$"
-LABEL = r"(?i)^\s*(?:endereço|endereco|end[.]|logradouro)\s*:\s*"
+LABEL = r"(?i)^\s*(?:endere[çÇc]o|end[.]|logradouro)\s*:\s*"
 BOARD_NAME = r"^junta comercial (?:industrial e servicos )?(?:d[eoa] estado )?d[eoa] (.+)$"
 
 

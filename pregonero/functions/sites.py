@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pregonero.functions.parsers import all_rules, first_rule, group
+from pregonero.functions.parsers import first_rule, group
 from pregonero.functions.text import fold
 from pregonero import rules as R
 
@@ -212,7 +212,3 @@ def is_lot_url(url: Column) -> Column:
 def property_kind(*candidates: Column) -> Column:
     """PRJ12: the first kind that one of the texts gives."""
     return F.coalesce(*[first_rule(c, R.PROPERTY_RULES) for c in candidates])
-
-
-def named_clauses(text: Column) -> Column:
-    return all_rules(text, R.CLAUSE_RULES)
